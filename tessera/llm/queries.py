@@ -18,6 +18,41 @@ def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), "space", END_ID), digests=True)
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import media_digests
+
+    return media_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return scan_licenses(docs).drop("text", "places")
+
+
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import extract_text
+
+    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_headers, resolve_revisits, write_archives
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = read_headers(resolve_revisits(write_archives(pages), least=0))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import held_out, identify, train
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = identify(docs.select("doc_id", "text"), train(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,4 +67,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .licenses import scan_sql
+
+    return {"op3_licenses": scan_sql()}

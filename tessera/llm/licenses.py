@@ -75,25 +75,25 @@ _FRAMES = [
     ("subject", "subject to (?:the )?(?:terms of (?:the )?)?", 2),
     ("spdx", "spdx licen[cs]e identifier (?:the )?", 1),
 ]
-#: Words with which a licence's own pattern begins, each the keyword of a rule of priority 3.
+#: Words with which a licence's own pattern begins, each the keyword of a rule of priority 3; rare ones, as common words would let all texts through.
 _FIRST = (
-    "apache mit expat x11 isc simplified bsd freebsd 2 3 4 new modified revised original gnu general gpl lesser library lgpl affero agpl mozilla mpl eclipse "
-    "common artistic zlib boost unlicense wtfpl european sil open cc0 cc creative public proprietary commercial"
+    "apache mit expat x11 isc simplified bsd freebsd gnu general gpl lesser library lgpl affero agpl mozilla mpl eclipse "
+    "artistic zlib boost unlicense wtfpl european sil cc0 cc creative public proprietary commercial"
 ).split()
 #: Other signatures: keyword, pattern, label, priority. Fixed values.
 _OTHERS = [
-    ("all", "all rights reserved", "reserved", 3),
+    ("rights", "rights reserved", "reserved", 3),
+    ("clause", "clause bsd(?: licen[cs]e)?", "bsd", 3),
     ("copyright", "copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?", "copyright", 4),
     ("permission", "permission is hereby granted free of charge to any person obtaining a copy", "mit", 2),
     ("permission", "permission to use copy modify and or distribute this software for any purpose", "isc", 2),
     ("redistribution", "redistribution and use in source and binary forms with or without modification are permitted", "bsd", 2),
-    ("unless", "unless required by applicable law or agreed to in writing", "apache-2.0", 2),
-    ("free", "free and unencumbered software released into the public domain", "unlicense", 2),
-    ("or", "or at your option any later version", "or-later", 2),
-    ("without", "without even the implied warranty of merchantability", "gpl", 2),
-    ("used", "used with permission", "permission", 4),
-    ("do", "do not (?:copy|redistribute|distribute)", "restricted", 4),
-    ("not", "not for (?:commercial use|redistribution)", "restricted", 4),
+    ("required", "required by applicable law or agreed to in writing", "apache-2.0", 2),
+    ("unencumbered", "unencumbered software released into the public domain", "unlicense", 2),
+    ("option", "option any later version", "or-later", 2),
+    ("implied", "implied warranty of merchantability", "gpl", 2),
+    ("permission", "permission of the (?:author|copyright holder|owner)", "permission", 4),
+    ("noncommercial", "noncommercial use only", "restricted", 4),
     ("confidential", "confidential and proprietary", "proprietary", 3),
 ]
 #: How sure a finding of each priority is, from 1.
@@ -140,6 +140,12 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def _literal(rule: tuple[int, str, str, str, int]) -> str:
+    i, _, pattern, label, priority = rule
+    quoted = [x.replace("\\", "\\\\").replace("'", "\\'") for x in (f"^({pattern})( |$)", label)]
+    return f"named_struct('rule', {i}, 'pattern', '{quoted[0]}', 'label', '{quoted[1]}', 'priority', {priority})"
+
+
 def _found(words: Column, known: list[tuple[int, str, str, str, int]]) -> Column:
     """Every place of every rule: array of (start, less_end, priority, label, rule), sorted."""
     by_word: dict[str, list] = {}
@@ -147,7 +153,7 @@ def _found(words: Column, known: list[tuple[int, str, str, str, int]]) -> Column
         by_word.setdefault(x[1], []).append(x)
     own = None
     for word, mine in by_word.items():
-        table = F.array(*(F.struct(F.lit(i).alias("rule"), F.lit(f"^({pattern})( |$)").alias("pattern"), F.lit(label).alias("label"), F.lit(priority).alias("priority")) for i, _, pattern, label, priority in mine))
+        table = F.expr(f"array({', '.join(map(_literal, mine))})")
         own = (lambda x, w=word, t=table: F.when(x == w, t)) if own is None else (lambda x, w=word, t=table, o=own: o(x).when(x == w, t))
     keywords = list(by_word)
 
@@ -220,7 +226,9 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", known: list[tuple[int
     )
     some = F.col("_b.n") > 0
     surest = F.array_min(F.transform("_p", lambda x: x["priority"]))
-    sure = F.coalesce(F.element_at(F.array(*map(F.lit, _SURE)), surest), F.lit(0.0))
+    sure = F.lit(0.0)
+    for i, x in enumerate(_SURE, 1):
+        sure = F.when(surest == i, x).otherwise(sure)
     return first.select(
         *(F.col(f"`{x}`") for x in rest.columns), "n_words",
         F.when(some, F.col("_b.n")).otherwise(0).cast("long").alias("n_base"),

@@ -62,6 +62,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"), "white", END_ID, with_ids=False)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 

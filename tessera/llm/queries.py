@@ -53,6 +53,15 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .linededup import dedup_lines
+
+    found = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return found.select("doc_id", "deleted_lines", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,5 +83,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     from .licenses import scan_sql
+    from .linededup import dedup_sql
 
-    return {"op3_licenses": scan_sql()}
+    return {"op3_licenses": scan_sql(), "op8_linededup": dedup_sql()}

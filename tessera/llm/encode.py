@@ -6,6 +6,12 @@ import os
 from functools import lru_cache
 
 
+_PUNCTUATION = ".,;:!?*#%&$()[]{}\"-_/+="
+
+#: How byte-level vocabularies write a space. A fixed value.
+_SPACE = "\u0120"
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned ids, exactly as the tokenizer would encode the whole text.
 
@@ -15,10 +21,12 @@ class Encoder:
     * ``"space"`` (byte-level BPE, where a word's token begins with the space before it): before
       single spaces and around single newlines. A text with other white space, or with two white
       characters in a row, is encoded as a whole.
-    * ``"white"`` (vocabularies that drop white space): at white space.
+    * ``"white"`` (vocabularies that drop white space and case): at white space.
     * ``None``: each text is encoded as a whole.
 
-    New chunks are encoded many at once, with the vocabulary's special token between them. At most
+    New chunks are encoded many at once, with the vocabulary's special token between them; in both
+    kinds of vocabulary, punctuation after a word's last letter or digit is a token of its own, and
+    words of ASCII letters go to the bare model. At most
     ``most`` chunks are kept, then all are forgotten.
     """
 
@@ -31,24 +39,88 @@ class Encoder:
         self.joined = Tokenizer.from_file(path)
         self.mark = next((x.content for x in self.joined.get_added_tokens_decoder().values() if x.special), None)
         self.size = self.tokenizer.get_vocab_size()
+        self._plain_words(path, cut)
         self.dtype = "<u2" if self.size <= 1 << 16 else "<u4"
         self.cut, self.most, self.kept = cut, most, {}
 
+    def _plain_words(self, path: str, cut: str | None) -> None:
+        """For words of ASCII letters: the bare model, as nothing else would change or cut them.
+
+        ``at_edge`` tells by which ids a word ends ("white") or begins ("space").
+        """
+        import numpy as np
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        self.at_edge = np.zeros(self.size, bool)
+        for x, i in self.bare.get_vocab().items():
+            self.at_edge[i] = x.endswith("</w>") if cut == "white" else x.startswith(_SPACE)
+
+    def _is_plain(self, x: str) -> bool:
+        if self.cut == "white":
+            return x.isascii() and x.isalpha() and x.islower()
+        return x[0] == " " and x.isascii() and x[1:].isalpha()
+
+    def _encode_plain(self, chunks: list[str]) -> None:
+        import numpy as np
+
+        wide, first = np.dtype(self.dtype).itemsize, self.cut == "space"
+        groups = [chunks[i : i + 256] for i in range(0, len(chunks), 256)]
+        texts = ["\n".join(x).replace(" ", _SPACE) for x in groups]
+        for group, found in zip(groups, self.bare.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, dtype=self.dtype)
+            edges = (np.flatnonzero(self.at_edge[ids]) + (not first)) * wide
+            raw = ids.tobytes()
+            ends = [*edges[1:].tolist(), len(raw)] if first else edges.tolist()
+            if len(ends) != len(group):
+                raise AssertionError("a word was not encoded by itself")
+            begin = 0
+            for chunk, end in zip(group, ends):
+                self.kept[chunk] = raw[begin:end]
+                begin = end
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype=self.dtype).tobytes() for x in found]
 
-    def _add(self, chunks: list[str]) -> None:
-        """Keeps the ids of new chunks."""
+    def _add(self, chunks: set[str]) -> None:
+        """Keeps the ids of new chunks: of those that are a word and ASCII punctuation, from the ids of both."""
+        kept, parts, again, fold = self.kept, set(), [], self.cut == "white"
+        add, keep = parts.add, again.append
+        for x in chunks:
+            word = x.rstrip(_PUNCTUATION)
+            tail = None
+            if len(word) < len(x) and word and word[-1].isalnum():
+                tail = x[len(word) :]
+                add(tail)
+            else:
+                word = x
+            if fold and word.isascii():
+                word = word.lower()
+            add(word)
+            if word is not x and (tail is not None or word != x):
+                keep((x, word, tail))
+        parts -= kept.keys()
+        plain = [x for x in parts if self._is_plain(x)] if self.at_edge.any() else []
+        if plain:
+            self._encode_plain(plain)
+        self._encode(list(parts.difference(plain)))
+        for x, word, tail in again:
+            kept[x] = kept[word] if tail is None else kept[word] + kept[tail]
+
+    def _encode(self, chunks: list[str]) -> None:
+        """Keeps the ids of chunks, encoded many at once."""
         import numpy as np
 
         mark = self.mark
-        if mark is None or any(mark[:2] in x for x in chunks):
-            odd = chunks if mark is None else [x for x in chunks if mark[:2] in x]
+        if mark is None or mark[:2] in "\n".join(chunks):
+            odd = chunks if mark is None else [x for x in chunks if mark[0] in x or x[-1:] == mark[0]]
             self.kept.update(zip(odd, self._ids(odd)))
-            chunks = [] if mark is None else [x for x in chunks if mark[:2] not in x]
+            chunks = [x for x in chunks if x not in self.kept]
         if not chunks:
             return
         wide, between = np.dtype(self.dtype).itemsize, self.joined.token_to_id(mark)
@@ -85,7 +157,7 @@ class Encoder:
             self.kept.clear()
         new -= self.kept.keys()
         if new:
-            self._add(list(new))
+            self._add(new)
         whole = [i for i, x in enumerate(cut) if x is None]
         out = [b"" if x is None else b"".join(map(self.kept.__getitem__, x)) for x in cut]
         if whole:

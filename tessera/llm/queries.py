@@ -45,6 +45,12 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .leaks import find_leaks
+
+    return find_leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import held_out, identify, train
 

@@ -298,3 +298,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = written(rooted.join(named, "root").select("fp", "component_id"), "whole")
     joined = marked.join(whole, "fp")
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, reach: int = 4) -> DataFrame:
+    """The rows of docs, with all their columns, of the smallest id of each component of near_duplicates().
+
+    Rows of one id stay or go together; rows with a null id stay only if their component has no other.
+    """
+    found = near_duplicates(docs, id_col, text_col, words, reach)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")

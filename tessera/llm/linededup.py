@@ -26,7 +26,8 @@ from .common import written
 #: Words that a repeated run must have.
 LEAST = 50
 
-_PLACE = F.struct("doc_id", "doc_key", "line")
+#: The columns of a place, in the order of the corpus.
+_PLACE = ("doc_id", "doc_key", "line")
 
 
 def _weight(line: Column) -> Column:
@@ -125,8 +126,8 @@ def repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     spans = written(rows.select("doc_id", "doc_key", F.explode(_let(F.col("p"), runs)).alias("s")).select("doc_id", "doc_key", "s.*"), "runs")
     key = ["n", "own", "other"]
-    firsts = written(spans.groupBy(*key).agg(F.min(_PLACE).alias("first"), F.count("*").alias("times")).where("times > 1").drop("times"), "intervals")
-    later = spans.join(firsts, key).where(_PLACE > F.col("first"))
+    firsts = written(spans.groupBy(*key).agg(F.min(F.struct(*_PLACE)).alias("first"), F.count("*").alias("times")).where("times > 1").drop("times"), "intervals")
+    later = spans.join(firsts, key).where(F.struct(*_PLACE) > F.col("first"))
     covered = later.select("doc_id", "doc_key", F.explode(F.sequence("line", F.col("line") + F.col("n") - 1)).alias("line"))
     return covered.groupBy("doc_id", "doc_key").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
@@ -143,7 +144,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = rest.withColumn("_key", F.xxhash64(F.col(id_col), F.col(text_col)))
     gone = repeated_lines(keyed.select(F.col(id_col).alias("doc_id"), F.col("_key").alias("doc_key"), F.coalesce(text_col, F.lit("")).alias("text")), least)
     gone = written(gone.select(F.col("doc_key").alias("_key"), F.col("lines").alias("_lines")), "deleted")
-    joined = keyed.join(gone, "_key", "left")
+    joined = keyed.join(gone.hint("merge"), "_key", "left")  # one plan at every size
     left = F.filter(F.split(text_col, "\n", -1), lambda _, i: ~F.array_contains("_lines", i))
     text = F.when(F.col("_lines").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     return joined.withColumns({text_col: text, "deleted_lines": F.coalesce(F.size("_lines"), F.lit(0))}).select(*rest.columns, "deleted_lines")

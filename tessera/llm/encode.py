@@ -94,7 +94,7 @@ class Encoder:
         for x in chunks:
             word = x.rstrip(_PUNCTUATION)
             tail = None
-            if len(word) < len(x) and word and word[-1].isalnum():
+            if len(word) < len(x) and word and (end := word[-1]).isalnum() and (end < "\x80" or end.lower()[-1].isalnum()):
                 tail = x[len(word) :]
                 add(tail)
             else:

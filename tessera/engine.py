@@ -199,7 +199,7 @@ class Engine:
                     counter.value = 0
 
     def stats(self) -> dict[str, int]:
-        return {"functions": len(self._known), "open_streams": sum(x._rows is not None for x in self._streams), "executors": len(self.spark.sparkContext.statusTracker().getActiveJobsIds())}
+        return {"functions": len(self._known), "open_streams": sum(x._rows is not None for x in self._streams), "active_jobs": len(self.spark.sparkContext.statusTracker().getActiveJobsIds())}
 
     def self_test(self, n: int = 1000) -> dict[str, int]:
         """Sends n rows through each plan and counts what did not come back as it was."""

@@ -220,10 +220,11 @@ def _grouped(spec: Registration, calls: agg.Callbacks) -> Any:
     from .operators.scalar import _arrow
 
     read, check, special = agg._read(spec.args), checker(spec.returns), spec.options["null_handling"] == "special"
+    stored = _arrow(spec.returns)
 
     def whole(*columns: pa.Array) -> Any:
         rows = [read(r) for r in zip(*(x.to_pylist() for x in columns)) if special or None not in r]
         state = calls.folded([None], [1] * len(rows), rows)[0] if rows else None
-        return pa.scalar(check(calls.finished([state])[0]), _arrow(spec.returns))
+        return pa.scalar(check(calls.finished([state])[0]), stored)
 
     return F.arrow_udf(whole, spec.returns.spark, F.ArrowUDFType.GROUPED_AGG)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from typing import Any
 
 import pyarrow as pa
@@ -150,6 +151,7 @@ def _variant(kind: LType | None) -> bool:
 
 def evaluator(fun: Callable, spec: Registration, counts: dict) -> Any:
     """The Spark function of a registration. Rows of VARIANT, and calls without arguments, go one by one under each plan."""
+    spec = replace(spec, udf=None, counters={})  # what tasks get refers to no session
     mode, returns = spec.options["mode"], spec.returns.spark
     if mode == "vectorized":
         made = F.arrow_udf(_any_arity(_columns(fun, spec, counts)), returnType=returns)

@@ -90,5 +90,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from .licenses import scan_sql
     from .linededup import dedup_sql
+    from .warc import revisits_sql
 
-    return {"op3_licenses": scan_sql(), "op8_linededup": dedup_sql()}
+    return {"op3_licenses": scan_sql(), "op5_warc": revisits_sql(), "op8_linededup": dedup_sql()}

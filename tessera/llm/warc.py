@@ -209,3 +209,13 @@ def resolve_revisits(archives: DataFrame, least: int = 0, folder: str | None = N
     rows = joined.select("path", "at", "size", "page_id", "url", "payload_digest", "payload_bytes", "original", first.alias("first"))
     dealt = rows.repartition(partitions(spark), "path").sortWithinPartitions("path", "at")
     return written(dealt.mapInArrow(_rewrite(folder or scratch(spark, "warc")), FILES), "archives")
+
+
+def revisits_sql(least: int = 0) -> str:
+    """DuckDB SQL for the records of pages after resolve_revisits()."""
+    return f"""
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+named AS (SELECT page_id, n, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (1 + i * 5 // 4)::INTEGER, 2))::INTEGER >> (3 - (i * 5) % 4)::INTEGER) & 31) + 1, 1)), '') AS digest FROM hashed),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM named)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN n >= {least} AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= {least} AND page_id <> first THEN first END AS refers_to FROM firsts"""

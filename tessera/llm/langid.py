@@ -3,7 +3,8 @@
 The model has, for each language, the log frequency of known words, and of sequences of 4, 3, 2
 and 1 letters within words (with marks for begin and end). A known word scores its log frequency
 in each language. An unseen word is walked letter by letter: at each place the longest known
-sequence that begins there scores, and the word scores the mean.
+sequence of up to 4 that begins there scores, and the word scores the mean (over places with 4
+letters ahead; a shorter word is one place).
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from .common import bounded_batches, runs, written
 UNKNOWN = "und"
 #: Longest letter sequence.
 ORDER = 4
+#: What may stand around a word; such a piece needs no search for words.
+_AROUND = ".,;:!?*#%&$()[]{}\"'-_/+=0123456789"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -85,45 +88,63 @@ class Model:
                 self.logs[at] = np.log((self.logs[at] + 0.5) / size)
         self.logs = self.logs.astype("f4")
 
-    def word(self, word: str):
-        """A word's log frequency in each language."""
-        import numpy as np
-
+    def rows_of(self, word: str) -> list[int]:
+        """The rows whose mean is the word's log frequency in each language: the word's, or its longest known sequences'."""
         i = self.known[0].get(word)
         if i is not None:
-            return self.logs[i]
-        marked, found = f"^{word}$", []
-        for at in range(len(marked)):
-            for n in range(min(ORDER, len(marked) - at), 0, -1):
-                i = self.known[n].get(marked[at : at + n])
-                if i is not None:
-                    found.append(i)
-                    break
-        return self.logs[found].mean(0) if found else np.zeros(len(self.languages), "f4")
+            return [i]
+        marked = f"^{word}$"
+        longest = [marked[at : at + ORDER] for at in range(max(1, len(marked) - ORDER + 1))]
+        found = [*map(self.known[ORDER].get, longest)]
+        if None in found:
+            found = [self._shorter(x) if i is None else i for i, x in zip(found, longest)]
+            return [i for i in found if i is not None]
+        return found
+
+    def _shorter(self, gram: str) -> int | None:
+        for n in range(ORDER - 1, 0, -1):
+            i = self.known[n].get(gram[:n])
+            if i is not None:
+                return i
+        return None
 
 
 class Scorer:
     """Scores texts; keeps what each piece between white space contributes, up to ``most`` pieces."""
 
-    def __init__(self, model: Model, most: int = 300_000):
+    def __init__(self, model: Model, most: int = 600_000):
         import numpy as np
 
         self.model, self.most = model, most
         self.codes: dict[str, int] = {}
         self.rows = np.zeros((1024, len(model.languages) + 1), "f4")
 
-    def _add(self, piece: str) -> None:
+    def _add(self, pieces: set[str]) -> None:
+        """Keeps what new pieces contribute: the sum of their words' rows, and how many words."""
         import numpy as np
 
-        found = words_of(piece)
-        k = len(self.codes)
-        if k == len(self.rows):
+        flat, sizes, begins, counts = [], [], [], []
+        begin = len(self.codes)
+        for k, piece in enumerate(pieces, begin):
+            self.codes[piece] = k
+            begins.append(len(flat))
+            word = piece.lower().strip(_AROUND)
+            words = [word] if word.isalpha() else words_of(piece)
+            counts.append(len(words))
+            for x in words:
+                found = self.model.rows_of(x)
+                if found:
+                    flat += found
+                    sizes.append(len(found))
+        end = len(self.codes)
+        while end > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[k] = 0
-        for x in found:
-            self.rows[k, :-1] += self.model.word(x)
-        self.rows[k, -1] = len(found)
-        self.codes[piece] = k
+        self.rows[begin:end] = 0
+        self.rows[begin:end, -1] = counts
+        if flat:
+            sums = np.concatenate([np.zeros((1, len(self.model.languages))), np.cumsum(self.model.logs[np.array(flat)] * np.repeat(1 / np.array(sizes), sizes)[:, None], axis=0)])
+            at = np.array([*begins, len(flat)])
+            self.rows[begin:end, :-1] = sums[at[1:]] - sums[at[:-1]]
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The likeliest language of each text and its probability."""
@@ -133,8 +154,8 @@ class Scorer:
         if len(self.codes) > self.most:
             self.codes.clear()
         new = set().union(*pieces) - self.codes.keys()
-        for x in new:
-            self._add(x)
+        if new:
+            self._add(new)
         out = []
         for x in pieces:
             total = self.rows[np.fromiter(map(self.codes.__getitem__, x), np.int64, len(x))].sum(0, dtype="f8")

@@ -127,7 +127,7 @@ def _group(attrs: str) -> str:
 
 
 def evidence(nodes: list[Node]) -> list[tuple[str, str, int, int]]:
-    """Of each node: tag, group of its names, share of linked text below it, amount of its own text."""
+    """Of each node: tag with the group of its names, that group, share of linked text below it, amount of its own text."""
     for x in nodes:
         x.total = x.own
     for x in reversed(nodes):
@@ -138,7 +138,8 @@ def evidence(nodes: list[Node]) -> list[tuple[str, str, int, int]]:
     out = []
     for x in nodes:
         share = 3 * x.linked // x.total if x.total else -1
-        out.append((x.tag, _group(x.attrs) if x.attrs else "", min(share, 3), (x.own > 0) + (x.own >= 25) + (x.own >= 100)))
+        named = _group(x.attrs) if x.attrs else ""
+        out.append((f"{x.tag}.{named}", named, min(share, 3), (x.own > 0) + (x.own >= 25) + (x.own >= 100)))
     return out
 
 
@@ -222,9 +223,11 @@ def labelled_pages(n: int = 400, seed: int = 7) -> Iterator[tuple[list[tuple], l
         return r.choice([
             lambda: f"<nav y=0><ul>{links(r.randint(3, 9))}</ul></nav>",
             lambda: f"<ul y=0 class='{r.choice(['menu', 'nav', 'breadcrumbs', 'pagination'])}'>{links(r.randint(3, 9))}</ul>",
-            lambda: f"<header y=0><p>{say(1, 8)}</p></header>",
+            lambda: f"<header y=0><{(h := r.choice(['h1', 'h2', 'div', 'p']))}>{say(1, 8)}</{h}><p>{say(1, 30)}</p></header>",
+            lambda: f"<header y=0><ul>{links(3)}</ul><h2>{say(1, 5)}</h2></header>",
             lambda: f"<div y=0 class='{r.choice(['header', 'masthead', 'logo'])}'>{say(1, 8)}</div>",
             lambda: f"<div y=0 class='{r.choice(['ad', 'ads', 'advert', 'banner', 'sponsored'])}'>{say(3, 40)}</div>",
+            lambda: f"<aside y=0><h2>{say(1, 4)}</h2><p>{say(4, 40)}</p><p>{say(4, 40)}</p></aside>",
             lambda: f"<aside y=0><h3>{say(1, 4)}</h3><p>{say(4, 40)}</p></aside>",
             lambda: f"<div y=0 class='{r.choice(['sidebar', 'widget', 'related', 'share'])}'><p>{say(4, 40)}</p><ul>{links(3)}</ul></div>",
             lambda: f"<div y=0 id='{r.choice(['cookie-notice', 'consent', 'newsletter', 'alert'])}'><p>{say(5, 30)}</p></div>",
@@ -237,12 +240,16 @@ def labelled_pages(n: int = 400, seed: int = 7) -> Iterator[tuple[list[tuple], l
 
     def piece() -> str:
         k = r.random()
-        if k < 0.75:
-            return f"<p>{say(1, 80)}</p>"
-        if k < 0.82:
+        if k < 0.55:
+            return f"<p>{say(*r.choice([(1, 3), (4, 20), (10, 80)]))}</p>"
+        if k < 0.65:
+            return f"<p><a href='/x'>{say(1, 20)}</a>{say(0, 30) if r.random() < 0.4 else ''}</p>"
+        if k < 0.72:
             return f"<h2>{say(1, 8)}</h2>"
+        if k < 0.84:
+            return f"<{(u := r.choice(['ul', 'ol']))}>{''.join(f'<li>{say(1, 20)}</li>' for _ in range(r.randint(2, 6)))}</{u}>"
         if k < 0.88:
-            return f"<ul>{''.join(f'<li>{say(2, 20)}</li>' for _ in range(3))}</ul>"
+            return f"<figure><figcaption>{say(1, 12)}</figcaption></figure>"
         if k < 0.92:
             return f"<blockquote><p>{say(5, 40)}</p></blockquote>"
         if k < 0.95:
@@ -251,7 +258,7 @@ def labelled_pages(n: int = 400, seed: int = 7) -> Iterator[tuple[list[tuple], l
 
     def page() -> str:
         name = r.choice(["article", "article", "main", "div class='content'", "div class='post'", "div id='main-content'", "section class='entry'", "div class='article-body'"])
-        inner = f"<h1>{say(2, 10)}</h1>" * (r.random() < 0.8) + "".join(piece() for _ in range(r.randint(1, 14)))
+        inner = f"<h1>{say(2, 10)}</h1>" * (r.random() < 0.8) + "".join(piece() for _ in range(r.choice([r.randint(1, 6), r.randint(4, 30)])))
         if r.random() < 0.25:
             inner += junk()
         core = f"<{name} y=1>{inner}</{name.split()[0]}>"

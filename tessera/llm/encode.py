@@ -30,7 +30,7 @@ class Encoder:
     ``most`` chunks are kept, then all are forgotten.
     """
 
-    def __init__(self, path: str, cut: str | None, most: int = 700_000):
+    def __init__(self, path: str, cut: str | None, most: int = 350_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

@@ -54,9 +54,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[lang, 0, word] += k
                 for n, gram in sequences(word):
                     counts[lang, n, gram] += k
-        if len(counts) > 200_000:
-            yield out()
-            counts.clear()
+            if len(counts) > 100_000:
+                yield out()
+                counts.clear()
     if counts:
         yield out()
 
@@ -112,7 +112,7 @@ class Model:
 class Scorer:
     """Scores texts; keeps what each piece between white space contributes, up to ``most`` pieces."""
 
-    def __init__(self, model: Model, most: int = 600_000):
+    def __init__(self, model: Model, most: int = 300_000):
         import numpy as np
 
         self.model, self.most = model, most

@@ -176,7 +176,7 @@ class Index:
 class Finder:
     """Finds an index's items in texts; keeps the word of each piece, up to ``most`` pieces."""
 
-    def __init__(self, index: Index, most: int = 500_000):
+    def __init__(self, index: Index, most: int = 300_000):
         self.index, self.most, self.kept = index, most, {}
 
     def __call__(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:

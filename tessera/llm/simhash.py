@@ -307,4 +307,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     found = near_duplicates(docs, id_col, text_col, words, reach)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(kept.hint("merge"), F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -26,11 +27,11 @@ SENTENCE, INSIDE, GAP = 4, 64, 512
 BLOCK = 1 << 20
 
 
-def best_cuts(ends: list[int], costs: list[int], window: int, last: bool = True) -> list[int]:
+def best_cuts(ends: list[int], costs: list[int], window: int, last: bool = True, rest: Callable[[int], int] = lambda n: 0) -> list[int]:
     """The cuts, out of ``ends``, that waste least; gaps between ends are at most ``window``.
 
-    With ``last``, the final end is among them. Without, tokens after the last cut are left over
-    (under a window of them, at no cost).
+    With ``last``, the final end is among them. Without, tokens after the last cut are left over:
+    n of them, under a window, cost ``rest(n)``.
     """
     begins, best, came = [0, *ends], [0], [0]
     queue: deque[tuple[int, int]] = deque([(0, 0)])  # (f(i) + b(i), i), rising
@@ -49,7 +50,8 @@ def best_cuts(ends: list[int], costs: list[int], window: int, last: bool = True)
             pop()
         push((f, k))
     total = begins[-1]
-    j = len(ends) if last else min((i for i in range(len(begins) - 1, -1, -1) if begins[i] > total - window), key=best.__getitem__)
+    near = takewhile(lambda i: begins[i] > total - window, range(len(ends), -1, -1))
+    j = len(ends) if last else min(near, key=lambda i: best[i] + rest(total - begins[i]))
     cuts = []
     while j:
         cuts.append(begins[j])
@@ -89,19 +91,26 @@ class _Packer:
         at = np.flatnonzero(cost >= 0)
         return at.tolist(), cost[at].tolist()
 
+    def split_cost(self, parts: list[int]) -> int:
+        return self.inside * (len(parts) - 1)
+
+    def tail_cost(self, n: int) -> int:
+        """What the last n tokens cost: as powers of two, or padded."""
+        return min(self.window - n, self.split_cost(power_pieces(n))) if n else 0
+
     def cut(self, last: bool) -> list[tuple]:
         """Pieces (doc_id, start, ids, tokens of the document, sequence, offset); keeps what is left over."""
         if not self.docs:
             return []
-        cuts = best_cuts(*self.candidates(), self.window, last)
-        if last:
-            begin = cuts[-2] if len(cuts) > 1 else 0
-            parts = power_pieces(cuts[-1] - begin)
-            if self.inside * (len(parts) - 1) < self.window - (cuts[-1] - begin):
-                cuts.pop()
-                for n in parts:
-                    begin += n
-                    cuts.append(begin)
+        cuts = best_cuts(*self.candidates(), self.window, False, self.tail_cost if last else lambda n: 0)
+        begin = cuts[-1] if cuts else 0
+        if last and begin < self.held:
+            parts = power_pieces(self.held - begin)
+            if self.split_cost(parts) >= self.window - (self.held - begin):
+                parts = [self.held - begin]
+            for n in parts:
+                begin += n
+                cuts.append(begin)
         out, k, offset, at = [], 0, 0, 0
         kept = []
         for doc_id, ids, done in self.docs:

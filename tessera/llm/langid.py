@@ -213,5 +213,6 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
     rest = docs.drop("lang_pred", "score")
-    found = rest.withColumn("_found", predict(F.col(text_col)))
+    # Its values repeat; said to be nondeterministic, it isn't run again for a filter on its result.
+    found = rest.withColumn("_found", predict.asNondeterministic()(F.col(text_col)))
     return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")

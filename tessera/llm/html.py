@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 from .common import bounded_batches
 
 #: Elements whose text is no text of the page, elements without an end, and elements that make no block; fixed by HTML.
-_DROPPED = "script style head noscript template svg iframe object select button textarea title audio video canvas math"
+_RAW = "script style textarea title"
+_DROPPED = frozenset("head noscript template svg iframe object select button audio video canvas math".split())
+#: Blocks at which an element of _DROPPED that lacks its end tag is over.
+_BREAKS = frozenset("address article aside blockquote body center dd div dl dt figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var".split())
 _CLOSES = {
@@ -33,7 +36,7 @@ _CLOSES = {
 _SCOPE = frozenset("ul ol dl table div section article".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + _DROPPED.replace(" ", "|") + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + _RAW.replace(" ", "|") + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.S | re.I,
 )
@@ -62,6 +65,29 @@ class Node:
         self.tag, self.attrs, self.parent, self.own, self.linked, self.total = tag, attrs, parent, 0, 0, 0
 
 
+def _closed(tokens: list[re.Match]) -> dict[int, int]:
+    """For tokens that begin elements of _DROPPED: the token that ends each, if it comes before the parent's end tag."""
+    found: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    count: Counter = Counter()
+    for i, m in enumerate(tokens):
+        tag = m["tag"]
+        if tag is None or (tag := tag.lower()) in _VOID:
+            continue
+        if not m["end"]:
+            if not (m["attrs"].endswith("/") and (tag in ("svg", "math") or count["svg"] or count["math"])):
+                stack.append((tag, i))
+                count[tag] += 1
+        elif count[tag]:
+            own = ""
+            while own != tag:
+                own, begin = stack.pop()
+                count[own] -= 1
+            if tag in _DROPPED:
+                found[begin] = i
+    return found
+
+
 def parsed(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The block elements, parents before children, and the blocks of text: (element, text), in page order."""
     nodes, blocks = [Node("body", "", -1)], []
@@ -78,14 +104,32 @@ def parsed(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 blocks.append((stack[-1], text))
             pieces.clear()
 
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
+    tokens = list(_TOKEN.finditer(page))
+    closed = _closed(tokens)
+    until, skips = -1, False  # the last token of a dropped element; whether one without an end is open
+    for i, m in enumerate(tokens):
+        if i <= until:
+            at = m.end()
+            continue
+        if m.start() > at and not skips:
             pieces.append((page[at : m.start()], links > 0))
         at = m.end()
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in _DROPPED:
+            if m["end"]:
+                skips = False
+            elif i in closed:
+                until = closed[i]
+            elif tag != "head" and not (tag in ("svg", "math") and m["attrs"].endswith("/")):
+                skips = True
+            continue
+        if skips:
+            if tag not in _BREAKS and not (m["end"] and (tag in _INLINE or any(nodes[k].tag == tag for k in stack[1:]))):
+                continue
+            skips = False
         if tag in _INLINE:
             if tag == "a":
                 links = 0 if m["end"] else 1
@@ -115,7 +159,7 @@ def parsed(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if len(stack) < 500:  # deeper elements count as their ancestor
             nodes.append(Node(tag, m["attrs"], stack[-1]))
             stack.append(len(nodes) - 1)
-    if at < len(page):
+    if at < len(page) and not skips:
         pieces.append((page[at:], links > 0))
     flush()
     return nodes, blocks

@@ -53,3 +53,14 @@ def test_rows(spark):
     rows = extract_text(pages).collect()
     assert len(rows) == 4 and all(r["n_chars"] == len(r["text"]) for r in rows)
     assert extract_text(pages.limit(0)).count() == 0
+
+
+def test_elements_without_their_end_tag_keep_the_article(model):
+    article = "<article><h1>The title</h1><p>First part of the text.</p><p>Second part of it.</p></article>"
+    want = main_text(f"<body>{article}</body>", model)
+    assert "First part of the text." in want
+    for broken in ("<svg width=1 />", "<svg><path d='x'/>", "<iframe src='x'>", "<object data='x'>", "<button>Press", "<video src='x'>", "<canvas>", "<math>", "<select><option>One", "<template>", "<noscript>"):
+        assert main_text(f"<html><head><title>T</title><meta charset=x><body>{broken}{article}</body></html>", model) == want
+        assert main_text(f"<body><div>{broken}</div>{article}<iframe>gone</iframe></body>", model) == want
+    assert main_text(f"<body>{article}<svg><g/><text>gone</text></svg><button><b>gone</b></button></body>", model) == want
+    assert main_text(f"<body>{article}<script>gone <p>gone", model) == want

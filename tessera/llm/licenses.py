@@ -75,11 +75,20 @@ _FRAMES = [
     ("subject", "subject to (?:the )?(?:terms of (?:the )?)?", 2),
     ("spdx", "spdx licen[cs]e identifier (?:the )?", 1),
 ]
-#: Words with which a licence's own pattern begins, each the keyword of a rule of priority 3; rare ones, as common words would let all texts through.
+#: Words with which a licence's own pattern begins, each the keyword of a rule of priority 3.
 _FIRST = (
     "apache mit expat x11 isc simplified bsd freebsd gnu general gpl lesser library lgpl affero agpl mozilla mpl eclipse "
-    "artistic zlib boost unlicense wtfpl european sil cc0 cc creative public proprietary commercial"
+    "artistic zlib boost unlicense wtfpl european sil cc0 cc creative public proprietary commercial "
+    "common open new modified revised original bsd 2 3 4"
 ).split()
+#: Common words among them: a text passes the gate only by what must follow.
+_COMMON = {"common": "common development", "open": "open database", **{x: f"{x} bsd" for x in ("new", "modified", "revised", "original")}, **{x: f"{x} clause" for x in "234"}}
+#: Short SPDX identifiers that no pattern above has, and whether they tell a licence without a frame.
+_SHORT = [
+    ("mit", "mit", False), ("isc", "isc", False), ("zlib", "zlib", False), ("apache-2.0", "apache 2 0", True), ("apache-1.1", "apache 1 1", True), ("epl-1.0", "epl 1 0", True),
+    ("epl-2.0", "epl 2 0", True), ("ofl-1.1", "ofl 1 1", True), ("odbl-1.0", "odbl 1 0", True), ("cddl-1.0", "cddl 1 0", True), ("boost-1.0", "bsl 1 0", True),
+    ("artistic-2.0", "artistic 2 0", True), ("eupl-1.2", "eupl 1 2", True),
+]
 #: Other signatures: keyword, pattern, label, priority. Fixed values.
 _OTHERS = [
     ("rights", "rights reserved", "reserved", 3),
@@ -105,6 +114,8 @@ def rules() -> list[tuple[int, str, str, str, int]]:
     found = [(word, before + f"(?:{pattern})", label, priority) for word, before, priority in _FRAMES for label, pattern in _LICENSES]
     found += [(word, f"(?={word} |{word}$)(?:{pattern})", label, 3) for label, pattern in _LICENSES for word in _FIRST if _begins(pattern, word)]
     found += _OTHERS
+    found += [(word, before + short, label, priority) for word, before, priority in _FRAMES for label, short, _ in _SHORT]
+    found += [(short.split()[0], short, label, 3) for label, short, alone in _SHORT if alone]
     return [(i, *x) for i, x in enumerate(found)]
 
 
@@ -205,6 +216,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", known: list[tuple[int
     words and no labels. ``known`` replaces rules(), in the same form; a rule's pattern must begin
     with its keyword and reach at most REACH words.
     """
+    passing = {x[1] for x in known} if known else {_COMMON.get(x[1], x[1]) for x in rules()}
     known = known or rules()
     ours = ["n_words", "n_base", "first_word", "last_word", "base_labels", "places", "labels", "score"]
     rest = docs.drop(*ours, "_s", "_p")
@@ -215,7 +227,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", known: list[tuple[int
     for x in has.values():
         some = x if some is None else some | x
     cut = F.when(some, F.split(padded, f"(?<= )(?=(?:{'|'.join(BASE)}) )"))
-    gate = F.col("_s").rlike(f"(?:^| )(?:{'|'.join(sorted({x[1] for x in known}))})(?: |$)")
+    gate = F.col("_s").rlike(f"(?:^| )(?:{'|'.join(sorted(passing))})(?: |$)")
     none = F.array().cast(f"array<{_PLACE}>")
     first = text.select(
         "*",

@@ -33,3 +33,19 @@ def test_rules_begin_with_their_keyword_and_fit_the_window():
     for _, word, pattern, _, priority in rules():
         assert re.fullmatch(r"[a-z0-9]+", word) and priority in (1, 2, 3, 4)
         assert len(re.sub(r"\(\?[=:]|[()?|\[\]]", " ", pattern).split()) <= 2 * REACH
+
+
+def test_names_that_begin_with_common_words_and_short_identifiers(spark):
+    want = {
+        "Common Development and Distribution License": "cddl-1.0", "an Open Database License here": "odbl-1.0", "the Modified BSD License": "bsd-3-clause", "a New BSD License": "bsd-3-clause",
+        "Original BSD License": "bsd-4-clause", "the 3-clause BSD license": "bsd-3-clause", "a BSD license": "bsd", "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+        "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: EPL-2.0": "epl-2.0", "SPDX-License-Identifier: Zlib": "zlib", "SPDX-License-Identifier: OFL-1.1": "ofl-1.1",
+        "license: Apache-2.0": "apache-2.0", "a new and open common 3": "",
+    }
+    rows = list(enumerate(want))
+    found = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["text"]: r["labels"] for r in found.collect()} == want
+    base = duckdb.connect()
+    base.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    base.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(map(repr, (tuple(r) for r in found.drop("text", "places").collect()))) == sorted(map(repr, base.execute(scan_sql()).fetchall()))

@@ -121,16 +121,16 @@ def expression(calls: Callbacks, args: list[LType], returns: LType, special: boo
     return F.udf(finish, returns.spark)((F.collect_set if distinct else F.collect_list)(gathered))
 
 
-def aggregate(calls: Callbacks, args: list[LType], returns: LType, special: bool, df: DataFrame, keys: list[str], columns: list[Column], name: str, most_keys: int = 50_000) -> DataFrame:
+def aggregate(calls: Callbacks, args: list[LType], returns: LType, special: bool, df: DataFrame, keys: list[str], columns: list[Column], name: str, most_keys: int = 50_000, where: Column | None = None) -> DataFrame:
     """A row for each key, with the aggregate as ``name``, by partial states (combine is needed).
 
     A task keeps ``most_keys`` states at most and passes them on when there are more. Without keys
-    there is one row, also for an empty table.
+    there is one row, also for an empty table. Rows that fail ``where`` are left out; their keys stay.
     """
     if not calls.merges:
         raise ValueError("partial aggregation needs combine or combine_chunk; agg() does without")
     read, n = _read(args), len(keys)
-    chosen = df.select(*keys, *(c.cast(a.spark).alias(f"_a{i}") for i, (c, a) in enumerate(zip(columns, args, strict=True))))
+    chosen = df.select(*keys, *(c.cast(a.spark).alias(f"_a{i}") for i, (c, a) in enumerate(zip(columns, args, strict=True))), (F.lit(True) if where is None else F.coalesce(where, F.lit(False))).alias("_w"))
     schema = T.StructType([*(chosen.schema[k] for k in keys), T.StructField("_state", T.BinaryType())])
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -149,10 +149,10 @@ def aggregate(calls: Callbacks, args: list[LType], returns: LType, special: bool
             if not batch.num_rows:
                 continue
             keyed = list(zip(*raw[:n])) if n else [()] * batch.num_rows
-            rows = list(zip(*raw[n:]))
+            rows = list(zip(*raw[n:-1]))
             groups = []
-            for key, row in zip(keyed, rows):
-                if not special and any(x is None for x in row):
+            for key, row, used in zip(keyed, rows, raw[-1]):
+                if not used or not special and any(x is None for x in row):
                     groups.append(0)
                     places.setdefault(key, len(places))
                     continue

@@ -368,8 +368,10 @@ def _add(a: int, b: int) -> int:
 @query("SELECT l_returnflag, sum(l_linenumber)::BIGINT AS total, count(*) AS n FROM lineitem GROUP BY 1")
 def agg_sum_rowwise(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = Engine(spark)
-    _sum(e, "sum_row")
-    return read(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(e.agg("sum_row", "l_linenumber").alias("total"), F.count("*").alias("n"))
+    _sum(e, "sum_row", combine=_add)
+    lines = read(spark, sf_dir, "lineitem")
+    counted = lines.groupBy(F.col("l_returnflag").alias("flag")).agg(F.count("*").alias("n"))
+    return e.aggregate(lines, ["l_returnflag"], "sum_row", "l_linenumber", alias="total").join(counted, F.col("l_returnflag").eqNullSafe(F.col("flag"))).drop("flag")
 
 
 @query("SELECT l_returnflag, sum(l_linenumber)::BIGINT AS total FROM lineitem GROUP BY 1")
@@ -402,8 +404,8 @@ def agg_combine_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT l_returnflag, sum(l_linenumber) FILTER (l_quantity > 25)::BIGINT AS total FROM lineitem GROUP BY 1")
 def agg_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = Engine(spark)
-    _sum(e, "sum_where")
-    return read(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(e.agg("sum_where", "l_linenumber", where=F.col("l_quantity") > 25).alias("total"))
+    _sum(e, "sum_where", combine=_add)
+    return e.aggregate(read(spark, sf_dir, "lineitem"), ["l_returnflag"], "sum_where", "l_linenumber", alias="total", where=F.col("l_quantity") > 25)
 
 
 @query("SELECT l_returnflag, sum(DISTINCT l_linenumber)::BIGINT AS total FROM lineitem GROUP BY 1")
@@ -416,15 +418,15 @@ def agg_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT l_returnflag, l_linestatus, sum(l_linenumber)::BIGINT AS total FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
 def agg_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = Engine(spark)
-    _sum(e, "sum_rollup")
-    return read(spark, sf_dir, "lineitem").rollup("l_returnflag", "l_linestatus").agg(e.agg("sum_rollup", "l_linenumber").alias("total"))
+    _sum(e, "sum_rollup", combine=_add)
+    return e.aggregate(read(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "sum_rollup", "l_linenumber", alias="total", sets=[["l_returnflag", "l_linestatus"], ["l_returnflag"], []])
 
 
 @query("SELECT l_returnflag, l_linestatus, sum(l_linenumber)::BIGINT AS total FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)")
 def agg_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = Engine(spark)
-    _sum(e, "sum_cube")
-    return read(spark, sf_dir, "lineitem").cube("l_returnflag", "l_linestatus").agg(e.agg("sum_cube", "l_linenumber").alias("total"))
+    _sum(e, "sum_cube", combine=_add)
+    return e.aggregate(read(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "sum_cube", "l_linenumber", alias="total", sets=[["l_returnflag", "l_linestatus"], ["l_returnflag"], ["l_linestatus"], []])
 
 
 @query("SELECT l_orderkey, l_linenumber, sum(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)::BIGINT AS total FROM lineitem")

@@ -118,3 +118,21 @@ def test_functions_over_file_streams(spark, tmp_path, sf_dir):
     to_table(source.select("event_id", "event_type"), f"{tmp_path}/out", f"{tmp_path}/at")
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == sorted((r["event_id"], r["event_type"].upper()) for r in events.collect())
     assert windowed_counts(source, "ts", "event_type", "value").isStreaming
+
+
+def test_registered_aggregates_gather_no_group_in_a_row(spark, sf_dir):
+    from tessera.queries import QUERIES
+
+    for name in ("agg_sum_rowwise", "agg_filter", "agg_rollup", "agg_cube"):
+        assert "collect_list" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
+
+
+def test_partial_states_with_filter_and_grouping_sets(spark, engine):
+    from pyspark.sql import functions as F
+
+    engine.register_aggregate("sum_parts", ["i64"], "i64", update=lambda s, x: (s or 0) + x, finalize=lambda s: s, combine=lambda a, b: a + b)
+    df = spark.createDataFrame([("a", "x", 1), ("a", None, 2), ("b", "x", 4), (None, "x", 8)], "k string, m string, v long")
+    assert {tuple(r) for r in engine.aggregate(df, ["k"], "sum_parts", "v", where=F.col("v") < 3).collect()} == {("a", 3), ("b", None), (None, None)}
+    found = engine.aggregate(df, ["k", "m"], "sum_parts", "v", alias="s", sets=[["k", "m"], ["k"], []])
+    want = df.rollup("k", "m").agg(F.sum("v").alias("s"))
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, want.collect())))

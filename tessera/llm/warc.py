@@ -25,6 +25,8 @@ from .common import bounded_batches, opened, partitions, scratch, written
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 LEVEL = 3
+#: Bytes that are inflated at once: what lies behind a record in them is copied.
+_STEP = 1 << 14
 
 
 def _member(fields: dict[str, object], block: bytes) -> bytes:
@@ -33,13 +35,13 @@ def _member(fields: dict[str, object], block: bytes) -> bytes:
     return packer.compress(f"WARC/1.1\r\n{head}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n") + packer.flush()
 
 
-def _parsed(member: bytes) -> tuple[dict[str, str], bytes]:
-    """A record's fields and its payload."""
-    raw = zlib.decompress(member, wbits=31)
+def _parsed(raw: bytes) -> tuple[dict[str, str], bytes, bytes]:
+    """A record's fields (by lower-case name), the HTTP header of its block with the empty line, and its payload."""
     head, _, rest = raw.partition(b"\r\n\r\n")
-    fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-    block = rest[: int(fields["Content-Length"])]
-    return fields, block.partition(b"\r\n\r\n")[2]
+    fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])}
+    block = rest[: int(fields["content-length"])]
+    http, end, payload = block.partition(b"\r\n\r\n")
+    return fields, http + end, payload
 
 
 def _now() -> str:
@@ -55,13 +57,13 @@ def _digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record(kind: str, page_id, url: str | None, payload: bytes, digest: str, size: int, refers: dict[str, object] | None = None) -> bytes:
+def _record(kind: str, record_id: str, date: str, page_id, url: str | None, http: bytes, payload: bytes, digest: str, size: int | None, refers: dict[str, object] | None = None) -> bytes:
     fields = {
-        "WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": _now(), "WARC-Target-URI": url,
+        "WARC-Type": kind, "WARC-Record-ID": record_id, "WARC-Date": date, "WARC-Target-URI": url,
         "WARC-Payload-Digest": f"sha1:{digest}", "Content-Type": "application/http; msgtype=response",
         "X-Page-ID": page_id, "X-Payload-Length": size, **(refers or {}),
     }
-    return _member(fields, _HTTP + payload)
+    return _member(fields, http + payload)
 
 
 FILES = "path string, n_records long"
@@ -93,7 +95,7 @@ def _write(folder: str):
             payloads = batch.column(2).fill_null("").cast(pa.binary()).to_pylist()
             for page_id, url, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), payloads):
                 out = out or _Writer(folder)
-                out.add(_record("response", page_id, _clean(url), payload, _digest(payload), len(payload)))
+                out.add(_record("response", f"<urn:uuid:{uuid.uuid4()}>", _now(), page_id, _clean(url), _HTTP, payload, _digest(payload), len(payload)))
         if out:
             yield out.close()
 
@@ -111,30 +113,34 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     return written(rows.mapInArrow(_write(folder or scratch(pages.sparkSession, "warc")), FILES), "archives")
 
 
-def _members(path: str) -> Iterator[tuple[int, bytes]]:
-    """Each member of a gzip file: where it begins, and its bytes."""
+def _members(path: str) -> Iterator[tuple[int, int, bytes]]:
+    """Each member of a gzip file: where it begins, its size, and its content."""
     store, name = opened(path)
     with store.open_input_file(name) as file:
-        at, rest = 0, b""
+        begin, buffer, at = 0, b"", 0
         while True:
-            packer, used, size = zlib.decompressobj(wbits=31), [], 0
+            packer, out, size = zlib.decompressobj(wbits=31), [], 0
             while not packer.eof:
-                data = rest or file.read(1 << 20)
-                if not data:
-                    if used:
-                        raise ValueError(f"{path} ends within a record")
-                    return
-                packer.decompress(data)
-                rest = packer.unused_data
-                used.append(data[: len(data) - len(rest)])
-            member = b"".join(used)
-            size = len(member)
-            yield at, member
-            at += size
-
-
-_HEADERS = pa.schema([("path", pa.string()), ("at", pa.int64()), ("size", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("record_id", pa.string()), ("date", pa.string()), ("refers_to", pa.int64())])
-HEADERS = "path string, at long, size long, page_id long, url string, record_type string, payload_digest string, payload_bytes long, record_id string, date string, refers_to long"
+                if at == len(buffer):
+                    buffer, at = file.read(1 << 20), 0
+                    if not buffer:
+                        if size:
+                            raise ValueError(f"{path} ends within a record")
+                        return
+                data = buffer[at : at + _STEP]
+                out.append(packer.decompress(data))
+                used = len(data) - len(packer.unused_data)
+                at += used
+                size += used
+            yield begin, size, b"".join(out)
+            begin += size
+
+
+_HEADERS = {
+    "path": pa.string(), "at": pa.int64(), "size": pa.int64(), "page_id": pa.int64(), "url": pa.string(), "record_type": pa.string(), "payload_digest": pa.string(), "payload_bytes": pa.int64(),
+    "record_id": pa.string(), "date": pa.string(), "refers_to": pa.int64(), "refers_id": pa.string(), "refers_url": pa.string(), "refers_date": pa.string(),
+}
+HEADERS = ", ".join(f"{k} {'long' if v == pa.int64() else 'string'}" for k, v in _HEADERS.items())
 
 
 def _whole(x: str | None) -> int | None:
@@ -142,19 +148,26 @@ def _whole(x: str | None) -> int | None:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), _HEADERS.values())], list(_HEADERS))
+
     for path in (x for b in batches for x in b.column(0).to_pylist()):
         rows: list[tuple] = []
-        for at, member in _members(path):
-            fields, payload = _parsed(member)
-            kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
-            if kind == "response" and digest != _digest(payload):
-                raise ValueError(f"{path} at {at}: the payload is not the one that was written")
-            rows.append((path, at, len(member), _whole(fields.get("X-Page-ID")), fields.get("WARC-Target-URI"), kind, digest, int(fields["X-Payload-Length"]), fields["WARC-Record-ID"], fields["WARC-Date"], _whole(fields.get("X-Refers-To-Page-ID"))))
+        for at, size, raw in _members(path):
+            fields, _, payload = _parsed(raw)
+            kind, digest, length = fields["warc-type"], fields.get("warc-payload-digest", "").removeprefix("sha1:") or None, _whole(fields.get("x-payload-length"))
+            if kind == "response":
+                own = _digest(payload)
+                if digest not in (None, own):
+                    raise ValueError(f"{path} at {at}: the payload is not the one that was written")
+                digest, length = own, len(payload)
+            refers = _whole(fields.get("x-refers-to-page-id")), fields.get("warc-refers-to"), fields.get("warc-refers-to-target-uri"), fields.get("warc-refers-to-date")
+            rows.append((path, at, size, _whole(fields.get("x-page-id")), fields.get("warc-target-uri"), kind, digest, length, fields.get("warc-record-id"), fields.get("warc-date"), *refers))
             if len(rows) == 5000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), _HEADERS.types)], schema=_HEADERS)
+                yield out()
                 rows = []
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), _HEADERS.types)], schema=_HEADERS)
+            yield out()
 
 
 def read_headers(archives: DataFrame) -> DataFrame:
@@ -163,7 +176,18 @@ def read_headers(archives: DataFrame) -> DataFrame:
     return spread.mapInArrow(_read, HEADERS)
 
 
+def _fresh(folder: str, record_id: str | None, path: str, at: int) -> str:
+    """A record's id in the new archives: the same from every task that needs it, and when one runs again."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{folder} {record_id or (path, at)}')}>"
+
+
 def _rewrite(folder: str):
+    def refers(row: dict) -> dict[str, object]:
+        first = row["original"]
+        if first is None:  # its original is in none of these archives: it refers to what it did
+            return {"WARC-Profile": PROFILE, "WARC-Refers-To": row["refers_id"], "WARC-Refers-To-Target-URI": row["refers_url"], "WARC-Refers-To-Date": row["refers_date"], "X-Refers-To-Page-ID": row["refers_to"]}
+        return {"WARC-Profile": PROFILE, "WARC-Refers-To": _fresh(folder, first["record_id"], first["path"], first["at"]), "WARC-Refers-To-Target-URI": first["url"], "WARC-Refers-To-Date": first["date"], "X-Refers-To-Page-ID": first["page_id"]}
+
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = path = file = None
         for row in (x for b in batches for x in b.to_pylist()):
@@ -174,13 +198,14 @@ def _rewrite(folder: str):
                 store, name = opened(path)
                 file = store.open_input_file(name)
             out = out or _Writer(folder)
-            payload, refers = b"", None
-            if row["first"]:
-                _, payload = _parsed(file.read_at(row["size"], row["at"]))
-            else:
-                first = row["original"]
-                refers = {"WARC-Profile": PROFILE, "WARC-Refers-To-Target-URI": first["url"], "WARC-Refers-To-Date": first["date"], "X-Refers-To-Page-ID": first["page_id"]}
-            out.add(_record("response" if row["first"] else "revisit", row["page_id"], row["url"], payload, row["payload_digest"], row["payload_bytes"], refers))
+            member = file.read_at(row["size"], row["at"])
+            if row["kind"] not in ("response", "revisit"):
+                out.add(member)
+                continue
+            _, http, payload = _parsed(zlib.decompress(member, wbits=31))
+            revisit = row["kind"] == "revisit"
+            name = _fresh(folder, row["record_id"], path, row["at"])
+            out.add(_record(row["kind"], name, row["date"], row["page_id"], row["url"], http, b"" if revisit else payload, row["payload_digest"], row["payload_bytes"], refers(row) if revisit else None))
         if file:
             file.close()
         if out:
@@ -190,23 +215,28 @@ def _rewrite(folder: str):
 
 
 def resolve_revisits(archives: DataFrame, least: int = 0, folder: str | None = None) -> DataFrame:
-    """Writes new archives in which records of equal payloads, but for one, are revisits of that one.
+    """Writes new archives in which response records of equal payloads, but for one, are revisits of that one.
 
     Of response records with equal payloads (by SHA-1) of ``least`` bytes or more, the one with the
     smallest page id stays a response (of equal ids the first by file and place; a null id comes
-    last); others lose their payload. Every record gets a new header. Only headers are shuffled: by
-    digest, with a join that splits frequent digests, then by file, so that each old archive is read
-    in order. Returns the new archives, as write_archives() does.
+    last); others lose their payload. Revisit records of the input are joined by digest to these
+    originals and stay revisits, whatever their page id, as they hold no payload: one whose original
+    is in none of the archives keeps the reference that it had. Records get new headers and record
+    ids; capture dates and HTTP headers stay, and a revisit names its original's new record id and
+    its date. Records of other types are copied as they are. Only headers are shuffled: by digest,
+    with a join that splits frequent digests, then by file, so that each old archive is read in
+    order. Returns the new archives, as write_archives() does.
     """
     spark = archives.sparkSession
     headers = written(read_headers(archives), "headers")
-    shared = headers.where(F.col("payload_bytes") >= least)
-    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "path", "at", "url", "date")
-    firsts = written(shared.groupBy("payload_digest").agg(F.min(order).alias("original"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts")
+    response, revisit = F.col("record_type") == "response", F.col("record_type") == "revisit"
+    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "path", "at", "record_id", "url", "date")
+    grouped = headers.where((response | revisit) & F.col("payload_digest").isNotNull()).groupBy("payload_digest")
+    firsts = written(grouped.agg(F.min(F.when(response, order)).alias("original"), F.count("*").alias("n")).where("n > 1 and original is not null").drop("n"), "firsts")
     joined = headers.join(firsts, "payload_digest", "left")
     same = (F.col("original.path") == F.col("path")) & (F.col("original.at") == F.col("at"))
-    first = F.col("original").isNull() | same | (F.col("payload_bytes") < least)
-    rows = joined.select("path", "at", "size", "page_id", "url", "payload_digest", "payload_bytes", "original", first.alias("first"))
+    again = response & F.col("original").isNotNull() & ~same & (F.col("payload_bytes") >= least)
+    rows = joined.withColumn("kind", F.when(again, "revisit").otherwise(F.col("record_type"))).drop("record_type")
     dealt = rows.repartition(partitions(spark), "path").sortWithinPartitions("path", "at")
     return written(dealt.mapInArrow(_rewrite(folder or scratch(spark, "warc")), FILES), "archives")
 

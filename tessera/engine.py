@@ -150,19 +150,19 @@ class Engine:
         given = [F.col(x) if isinstance(x, str) else x for x in columns]
         return agg.expression(spec.options["calls"], spec.args, spec.returns, spec.options["null_handling"] == "special", given, where, distinct)
 
-    def aggregate(self, df: DataFrame, keys: list[str], name: str, *columns: Column | str, alias: str | None = None, where: Column | None = None, sets: list[list[str]] | None = None) -> DataFrame:
+    def aggregate(self, df: DataFrame, keys: list[str], name: str, *columns: Column | str, alias: str | None = None, where: Column | None = None, distinct: bool = False, sets: list[list[str]] | None = None) -> DataFrame:
         """The aggregate for each key, by partial states; for groups of any size. Needs combine.
 
-        ``where`` as FILTER in SQL; ``sets`` are grouping sets of the keys, to which each row is dealt.
+        ``where`` as FILTER and ``distinct`` as DISTINCT in SQL; ``sets`` are grouping sets of the keys, to which each row is dealt.
         """
         spec = self._find(name, "aggregate")
         given = [F.col(x) if isinstance(x, str) else x for x in columns]
         special = spec.options["null_handling"] == "special"
         if sets is None:
-            return agg.aggregate(spec.options["calls"], spec.args, spec.returns, special, df, keys, given, alias or name, where=where)
+            return agg.aggregate(spec.options["calls"], spec.args, spec.returns, special, df, keys, given, alias or name, where=where, distinct=distinct)
         plain = df.select(*keys, *(c.alias(f"_x{i}") for i, c in enumerate(given)), (F.lit(True) if where is None else where).alias("_x"), F.explode(F.array(*map(F.lit, range(len(sets))))).alias("_set"))
         dealt = plain.select("_set", *(F.when(F.col("_set").isin([i for i, x in enumerate(sets) if k in x]), F.col(k)).alias(k) for k in keys), *(f"_x{i}" for i in range(len(given))), "_x")
-        found = agg.aggregate(spec.options["calls"], spec.args, spec.returns, special, dealt, ["_set", *keys], [F.col(f"_x{i}") for i in range(len(given))], alias or name, where=F.col("_x"))
+        found = agg.aggregate(spec.options["calls"], spec.args, spec.returns, special, dealt, ["_set", *keys], [F.col(f"_x{i}") for i in range(len(given))], alias or name, where=F.col("_x"), distinct=distinct)
         return found.drop("_set")
 
     def register_table(self, name: str, fun: Callable, chunk_size: int = 1024) -> Registration:

@@ -121,47 +121,85 @@ def expression(calls: Callbacks, args: list[LType], returns: LType, special: boo
     return F.udf(finish, returns.spark)((F.collect_set if distinct else F.collect_list)(gathered))
 
 
-def aggregate(calls: Callbacks, args: list[LType], returns: LType, special: bool, df: DataFrame, keys: list[str], columns: list[Column], name: str, most_keys: int = 50_000, where: Column | None = None) -> DataFrame:
+def _has_fractions(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_fractions(f.dataType) for f in kind)
+    return isinstance(kind, (T.FloatType, T.DoubleType)) or isinstance(kind, T.ArrayType) and _has_fractions(kind.elementType)
+
+
+def _one_zero(x: Column, kind: T.DataType) -> Column:
+    """A key as GROUP BY sees it: -0.0 is 0.0, and there is one NaN."""
+    if not _has_fractions(kind):
+        return x
+    if isinstance(kind, T.ArrayType):
+        return F.transform(x, lambda v: _one_zero(v, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(x.isNotNull(), F.struct(*(_one_zero(x[f.name], f.dataType).alias(f.name) for f in kind)))
+    return F.when(x == 0, F.lit(0.0).cast(kind)).when(F.isnan(x), F.lit(float("nan")).cast(kind)).otherwise(x)
+
+
+def _frozen(x: Any) -> Any:
+    """A key's value as one that can be looked up, with NaN equal to itself."""
+    if isinstance(x, list):
+        return tuple(map(_frozen, x))
+    if isinstance(x, dict):
+        return tuple((k, _frozen(v)) for k, v in x.items())
+    return ("NaN",) if x != x else x
+
+
+def _hashed(column: pa.Array, values: list) -> list:
+    kind = column.type
+    return list(map(_frozen, values)) if pa.types.is_nested(kind) or pa.types.is_floating(kind) else values
+
+
+def aggregate(calls: Callbacks, args: list[LType], returns: LType, special: bool, df: DataFrame, keys: list[str], columns: list[Column], name: str, most_keys: int = 50_000, where: Column | None = None, distinct: bool = False) -> DataFrame:
     """A row for each key, with the aggregate as ``name``, by partial states (combine is needed).
 
     A task keeps ``most_keys`` states at most and passes them on when there are more. Without keys
-    there is one row, also for an empty table. Rows that fail ``where`` are left out; their keys stay.
+    there is one row, also for an empty table. Keys are equal where GROUP BY has them equal: NaN to
+    NaN, -0.0 to 0.0, arrays and structs by their parts (maps are no keys). Rows that fail ``where`` are left out; their keys
+    stay. ``distinct``: of rows with equal keys and arguments one counts, found by a shuffle with partial sums.
     """
     if not calls.merges:
         raise ValueError("partial aggregation needs combine or combine_chunk; agg() does without")
     read, n = _read(args), len(keys)
+    df = df.withColumns({k: _one_zero(F.col(k), df.schema[k].dataType) for k in keys if _has_fractions(df.schema[k].dataType)})
     chosen = df.select(*keys, *(c.cast(a.spark).alias(f"_a{i}") for i, (c, a) in enumerate(zip(columns, args, strict=True))), (F.lit(True) if where is None else F.coalesce(where, F.lit(False))).alias("_w"))
     schema = T.StructType([*(chosen.schema[k] for k in keys), T.StructField("_state", T.BinaryType())])
+    if distinct:
+        chosen = chosen.distinct()
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places: dict[tuple, int] = {}
+        own: list[tuple] = []  # the key of each state
         states: list = []
 
         def out() -> pa.RecordBatch:
-            columns = [list(x) for x in zip(*places)] if n else []
+            columns = list(zip(*own)) if n else []
             return pa.RecordBatch.from_arrays([*(pa.array(x, t.type) for x, t in zip(columns, arrow)), pa.array([pickle.dumps(x) for x in states], pa.binary())], schema=arrow)
 
         for batch in batches:
             raw = [x.to_pylist() for x in batch.columns]
             if not batch.num_rows:
                 continue
-            keyed = list(zip(*raw[:n])) if n else [()] * batch.num_rows
+            keyed = list(zip(*map(_hashed, batch.columns[:n], raw))) if n else [()] * batch.num_rows
+            plain = list(zip(*raw[:n])) if n else keyed
             rows = list(zip(*raw[n:-1]))
             groups = []
-            for key, row, used in zip(keyed, rows, raw[-1]):
-                if not used or not special and any(x is None for x in row):
-                    groups.append(0)
-                    places.setdefault(key, len(places))
-                    continue
-                groups.append(places.setdefault(key, len(places)) + 1)
+            for i, (key, row, used) in enumerate(zip(keyed, rows, raw[-1])):
+                place = places.setdefault(key, len(places))
+                if place == len(own):
+                    own.append(plain[i])
+                groups.append(0 if not used or not special and any(x is None for x in row) else place + 1)
             states += [None] * (len(places) - len(states))
             states = calls.folded(states, groups, [read(r) if g else r for r, g in zip(rows, groups)])
             if len(places) > most_keys:
                 yield out()
                 places.clear()
+                own.clear()
                 states = []
         if places:
             yield out()
@@ -172,19 +210,22 @@ def aggregate(calls: Callbacks, args: list[LType], returns: LType, special: bool
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows are sorted by key, so that one state is held at a time."""
-        held: list = []
+        held: list = []  # of each key: its hashed form, the key, the state
 
         def out(done: list) -> pa.RecordBatch:
-            values = [check(x) for x in calls.finished([s for _, s in done])]
-            columns = list(zip(*(k for k, _ in done))) if n else []
+            values = [check(x) for x in calls.finished([s for *_, s in done])]
+            columns = list(zip(*(k for _, k, _ in done))) if n else []
             return pa.RecordBatch.from_arrays([*(pa.array(x, t.type) for x, t in zip(columns, arrow_result)), pa.array(values, arrow_result.field(n).type)], schema=arrow_result)
 
         for batch in batches:
-            for *key, state in zip(*(x.to_pylist() for x in batch.columns)):
-                if held and held[-1][0] == key:
-                    held[-1][1] = calls.merged(held[-1][1], pickle.loads(state))
+            *raw, found = (x.to_pylist() for x in batch.columns)
+            keyed = zip(*map(_hashed, batch.columns, raw)) if n else [()] * batch.num_rows
+            plain = zip(*raw) if n else [()] * batch.num_rows
+            for same, key, state in zip(keyed, plain, found):
+                if held and held[-1][0] == same:
+                    held[-1][2] = calls.merged(held[-1][2], pickle.loads(state))
                 else:
-                    held.append([key, calls.merged(None, pickle.loads(state))])
+                    held.append([same, key, calls.merged(None, pickle.loads(state))])
             if len(held) > 1000:
                 yield out(held[:-1])
                 del held[:-1]
@@ -196,4 +237,4 @@ def aggregate(calls: Callbacks, args: list[LType], returns: LType, special: bool
         shuffled = states.repartition(*(F.col(k) for k in keys)).sortWithinPartitions(*keys)
         return shuffled.mapInArrow(final, result)
     nothing = df.sparkSession.createDataFrame([(pickle.dumps(None),)], schema)
-    return states.unionByName(nothing).coalesce(1).mapInArrow(final, result)
+    return states.unionByName(nothing).repartition(1).mapInArrow(final, result)  # of the states: what is before it keeps its tasks

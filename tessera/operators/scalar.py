@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
+from decimal import Decimal
 from typing import Any
 
 import pyarrow as pa
@@ -12,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.values import checker, reader
+from ..functions.values import checker, reader, whole
 from ..plans.registry import Registration
-from ..types import BLOB, LType
+from ..types import BLOB, INTEGERS, LType
 
 #: Kinds whose batches are checked as a whole, by a cast that refuses to lose anything.
 _BULK = frozenset(["bool", "i8", "i16", "i32", "i64", "f32", "f64", "varchar", "blob", "date", "time", "timestamp"])
@@ -24,13 +26,84 @@ def _arrow(kind: LType) -> pa.DataType:
     return to_arrow_type(kind.spark)
 
 
-def _row_call(fun: Callable, spec: Registration, counts: dict) -> Callable[..., Any]:
-    """One row: NULL policy, the call under the error policy, the check of the result outside it."""
+def _fits(given: pa.DataType, want: pa.DataType, kind: LType) -> bool:
+    """Whether SQL turns such a column into an argument of that type unasked: numbers into wider kinds, never text into numbers."""
+    is_text = lambda x: pa.types.is_string(x) or pa.types.is_large_string(x)
+    number = pa.types.is_integer(given) or pa.types.is_decimal(given)
+    if kind.name in ("hugeint", "uhugeint") and kind.kind == "scalar":
+        return pa.types.is_integer(given) or is_text(given)
+    if pa.types.is_floating(want):
+        return number or pa.types.is_floating(given)
+    if pa.types.is_decimal(want) or pa.types.is_integer(want):
+        return number
+    if pa.types.is_timestamp(want):
+        return pa.types.is_timestamp(given) or pa.types.is_date(given)
+    if pa.types.is_nested(want):
+        return type(given) is type(want)
+    return given == want or is_text(given) and is_text(want)
+
+
+def _typed(columns: tuple[pa.Array, ...], args: list[LType] | None) -> tuple[pa.Array, ...]:
+    """Columns of the declared types: cast where SQL would cast unasked, refused elsewhere."""
+    if args is None:
+        _concrete(columns)
+        return columns
+    if len(columns) != len(args):
+        raise TypeError(f"{len(args)} arguments, not {len(columns)}")
+    out = []
+    for i, (x, kind) in enumerate(zip(columns, args), 1):
+        want = _arrow(kind)
+        if x.type != want and not pa.types.is_null(x.type):
+            if not _fits(x.type, want, kind):
+                raise TypeError(f"argument {i} is {x.type}, not {kind.sql}")
+            if pa.types.is_timestamp(x.type) and x.type.tz:
+                x = pc.local_timestamp(x)
+        try:
+            x = x.cast(want, safe=not pa.types.is_floating(want))
+        except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as e:
+            raise TypeError(f"argument {i} is no {kind.sql}: {e}") from e
+        if kind.kind == "scalar" and kind.name in ("u8", "u16", "u32", "u64") and len(x) > x.null_count:
+            low, high = pc.min_max(x).as_py().values()
+            whole(int(low), kind)
+            whole(int(high), kind)
+        out.append(x)
+    return tuple(out)
+
+
+#: What values of a kind are in rows of Spark.
+_IN_ROWS = {"list": list, "array": list, "map": dict, "varchar": str, "bool": bool, "blob": (bytes, bytearray), "geometry": (bytes, bytearray), "date": dt.date, "timestamp": dt.datetime, "time": dt.time, "uuid": str}
+
+
+def _argument(kind: LType, i: int) -> Callable[[Any], Any]:
+    """The check of one value of a row, for plans that know no columns; and its form for the function."""
+    read = reader(kind)
+    plain = kind.kind == "scalar" and kind.name in INTEGERS and kind.name not in ("hugeint", "uhugeint")
+    real = kind.kind == "scalar" and kind.name in ("f32", "f64")
+    classes = _IN_ROWS.get(kind.name if kind.kind == "scalar" else kind.kind)
+
+    def take(x: Any) -> Any:
+        if x is None:
+            return None
+        if plain or real:
+            if isinstance(x, bool) or not isinstance(x, (int, Decimal, float) if real else (int, Decimal)):
+                raise TypeError(f"argument {i} is {type(x).__name__}, not {kind.sql}")
+            x = float(x) if real else whole(int(x) if x == int(x) else x, kind)
+        elif classes and not isinstance(x, classes) or kind.name == "date" and isinstance(x, dt.datetime):
+            raise TypeError(f"argument {i} is {type(x).__name__}, not {kind.sql}")
+        return read(x) if read else x
+
+    return take
+
+
+def _row_call(fun: Callable, spec: Registration, counts: dict, typed: bool = False) -> Callable[..., Any]:
+    """One row: types of arguments (unless its columns were ``typed``), NULL policy, the call under the error policy, the check of the result outside it."""
     check, default = checker(spec.returns), spec.options["null_handling"] == "default"
     quiet = spec.options["exception_handling"] == "return_null"
-    readers = None if spec.args is None else [reader(x) for x in spec.args]
+    readers = None if spec.args is None else [reader(x) if typed else _argument(x, i) for i, x in enumerate(spec.args, 1)]
 
     def call(*args: Any) -> Any:
+        if readers is not None and len(args) != len(readers):
+            raise TypeError(f"{len(readers)} arguments, not {len(args)}")
         if default and any(x is None for x in args):
             counts["null_skips"].add(1)
             return None
@@ -68,9 +141,9 @@ def _rows_of_batch(fun: Callable, spec: Registration, counts: dict) -> Callable[
     arrow = _arrow(spec.returns)
 
     def batch(*columns: pa.Array) -> pa.Array:
-        _concrete(columns)
+        columns = _typed(columns, spec.args)
         tally = {k: _Tally() for k in counts}
-        call = _row_call(fun, spec, tally)
+        call = _row_call(fun, spec, tally, typed=True)
         values = [call(*row) for row in zip(*(x.to_pylist() for x in columns))]
         counts["batches"].add(1)
         counts["rows"].add(len(columns[0]))
@@ -114,7 +187,7 @@ def _columns(fun: Callable, spec: Registration, counts: dict) -> Callable[..., p
     arrow = _arrow(spec.returns)
 
     def batch(*columns: pa.Array) -> pa.Array:
-        _concrete(columns)
+        columns = _typed(columns, spec.args)
         n = len(columns[0])
         counts["batches"].add(1)
         counts["rows"].add(n)

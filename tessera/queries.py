@@ -374,11 +374,12 @@ def agg_sum_rowwise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.aggregate(lines, ["l_returnflag"], "sum_row", "l_linenumber", alias="total").join(counted, F.col("l_returnflag").eqNullSafe(F.col("flag"))).drop("flag")
 
 
-@query("SELECT l_returnflag, sum(l_linenumber)::BIGINT AS total FROM lineitem GROUP BY 1")
+@query("SELECT l_orderkey, sum(l_linenumber)::BIGINT AS total FROM lineitem GROUP BY 1")
 def agg_sql_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In SQL a group is in one task, so groups are small: the lines of an order."""
     _sum(Engine(spark), "sum_sql")
     _view(spark, sf_dir, "lineitem")
-    return spark.sql("SELECT l_returnflag, sum_sql(CAST(l_linenumber AS BIGINT)) AS total FROM lineitem GROUP BY 1")
+    return spark.sql("SELECT l_orderkey, sum_sql(CAST(l_linenumber AS BIGINT)) AS total FROM lineitem GROUP BY 1")
 
 
 @query("SELECT l_suppkey, sum(l_linenumber)::BIGINT AS total FROM lineitem GROUP BY 1")
@@ -411,8 +412,42 @@ def agg_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT l_returnflag, sum(DISTINCT l_linenumber)::BIGINT AS total FROM lineitem GROUP BY 1")
 def agg_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = Engine(spark)
-    _sum(e, "sum_distinct")
-    return read(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(e.agg("sum_distinct", "l_linenumber", distinct=True).alias("total"))
+    _sum(e, "sum_distinct", combine=_add)
+    return e.aggregate(read(spark, sf_dir, "lineitem"), ["l_returnflag"], "sum_distinct", "l_linenumber", alias="total", distinct=True)
+
+
+@query("SELECT o_orderstatus, sum(DISTINCT o_custkey)::BIGINT AS total FROM (SELECT * FROM orders WHERE o_custkey < 50) GROUP BY 1")
+def agg_distinct_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a Column, for groups that fit in a row."""
+    e = Engine(spark)
+    _sum(e, "sum_distinct_column")
+    return read(spark, sf_dir, "orders").where("o_custkey < 50").groupBy("o_orderstatus").agg(e.agg("sum_distinct_column", "o_custkey", distinct=True).alias("total"))
+
+
+@query("SELECT CASE WHEN l_linenumber % 3 = 0 THEN 'NaN' ELSE '0' END AS k, sum(l_orderkey)::BIGINT AS total FROM lineitem GROUP BY 1")
+def agg_nan_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = Engine(spark)
+    _sum(e, "sum_nan_key", combine=_add)
+    number = F.col("l_linenumber")
+    keyed = read(spark, sf_dir, "lineitem").withColumn("x", F.when(number % 3 == 0, float("nan")).when(number % 3 == 1, -0.0).otherwise(0.0))
+    found = e.aggregate(keyed, ["x"], "sum_nan_key", "l_orderkey", alias="total")
+    return found.select(F.when(F.isnan("x"), "NaN").otherwise(F.col("x").cast("int").cast("string")).alias("k"), "total")
+
+
+@query("SELECT l_returnflag AS a, l_linestatus AS b, sum(l_orderkey)::BIGINT AS total FROM lineitem GROUP BY 1, 2")
+def agg_nested_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = Engine(spark)
+    _sum(e, "sum_nested_key", combine=_add)
+    keyed = read(spark, sf_dir, "lineitem").select("l_orderkey", F.array("l_returnflag").alias("k"), F.struct("l_linestatus", F.lit(None).cast("double").alias("none")).alias("s"))
+    found = e.aggregate(keyed, ["k", "s"], "sum_nested_key", "l_orderkey", alias="total")
+    return found.select(F.col("k")[0].alias("a"), F.col("s.l_linestatus").alias("b"), "total")
+
+
+@query("SELECT sum(l_orderkey)::BIGINT AS total FROM lineitem")
+def agg_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = Engine(spark)
+    _sum(e, "sum_global", combine=_add)
+    return e.aggregate(read(spark, sf_dir, "lineitem"), [], "sum_global", "l_orderkey", alias="total")
 
 
 @query("SELECT l_returnflag, l_linestatus, sum(l_linenumber)::BIGINT AS total FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
@@ -531,11 +566,16 @@ def table_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT n_name, i FROM nation, few(3) WHERE n_regionkey = 1")
 
 
-@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+@query("SELECT count(*) AS n, sum(s_suppkey)::BIGINT AS keys, sum(length(s_name))::BIGINT AS letters, least(count(*), 64) AS most, ceil(count(*) / 64)::BIGINT AS batches FROM supplier")
 def query_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = Engine(spark)
-    with e.query_stream(read(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_acctbal"), batch_rows=64) as batches:
-        return spark.createDataFrame(pa.concat_tables(batches))
+    """What passes through the driver, a batch at a time, is counted there and not kept."""
+    n = keys = letters = most = batches = 0
+    with Engine(spark).query_stream(read(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_acctbal"), batch_rows=64) as stream:
+        for batch in stream:
+            n, most, batches = n + batch.num_rows, max(most, batch.num_rows), batches + 1
+            keys += pc.sum(batch["s_suppkey"]).as_py()
+            letters += pc.sum(pc.utf8_length(batch["s_name"])).as_py()
+    return spark.createDataFrame([(n, keys, letters, most, batches)], "n long, keys long, letters long, most long, batches long")
 
 
 @query("SELECT o_orderkey, round(o_totalprice * CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END, 2) AS score FROM orders WHERE o_totalprice * CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END > 1000")
@@ -567,3 +607,76 @@ def date_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = Engine(spark)
     made = e.register_scalar("day_of", lambda x: dt.date(x.year, x.month, x.day), ["timestamp"], "date")
     return read(spark, sf_dir, "orders").groupBy(made.udf(F.col("o_orderdate").cast("timestamp_ntz")).alias("d")).agg(F.count("*").alias("n"))
+
+
+# -- types of arguments in SQL, results and streams
+
+
+@query("SELECT l_orderkey, l_linenumber, (l_linenumber * 2)::BIGINT AS x, l_quantity / 2 AS y, 0 AS refused FROM lineitem")
+def scalar_sql_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL casts an INTEGER to the declared BIGINT; text for a number is refused under each plan."""
+    found, refused = None, 0
+    for plan in ("pickled", "arrow"):
+        e = Engine(spark, plan)
+        e.register_scalar("sql_twice", lambda x: x * 2, ["i64"], "i64")
+        e.register_scalar("sql_half", lambda x: x / 2, ["f64"], "f64")
+        _view(spark, sf_dir, "lineitem")
+        try:
+            spark.sql("SELECT sql_twice('2')").collect()
+            refused += 1
+        except Exception as error:
+            if "TypeError" not in str(error):
+                raise
+        mine = spark.sql("SELECT l_orderkey, l_linenumber, sql_twice(l_linenumber) AS x, sql_half(l_quantity) AS y FROM lineitem")
+        found = mine.where("l_linenumber > 2") if found is None else found.unionByName(mine.where("l_linenumber <= 2"))
+    return found.withColumn("refused", F.lit(refused))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey * 2 END AS x FROM orders WHERE o_orderkey % 5 <> 0 UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 5 = 0")
+def error_return_null_vectorized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch fails as a whole; here the rows that fail are batches of their own."""
+    from .plans.plan import Plan
+
+    def twice(x: pa.Array) -> pa.Array:
+        if pc.any(pc.equal(pc.subtract(x, pc.multiply(pc.divide(x, 5), 5)), 0)).as_py():
+            raise ValueError("not these")
+        return pc.multiply(x, 2)
+
+    e = Engine(spark, Plan("arrow"))
+    e.register_scalar("twice_or_null", twice, ["i64"], "i64", mode="vectorized", exception_handling="return_null")
+    orders = read(spark, sf_dir, "orders", "o_orderkey")
+    good, bad = orders.where("o_orderkey % 5 <> 0"), orders.where("o_orderkey % 5 = 0")
+    return good.unionByName(bad).select("o_orderkey", e.call("twice_or_null", "o_orderkey").alias("x"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey AS a, 'p' || l_partkey AS b FROM lineitem")
+def vectorized_struct_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with the fields' names is a column of structs."""
+    e = Engine(spark)
+    e.register_scalar("as_fields", lambda x: pa.table({"a": x, "b": pc.binary_join_element_wise("p", x.cast(pa.string()), "")}), ["i64"], t.STRUCT(a=t.I64, b=t.VARCHAR), mode="vectorized")
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", e.call("as_fields", "l_partkey").alias("s")).select("l_orderkey", "l_linenumber", "s.*")
+
+
+@query("SELECT 4::BIGINT AS refused")
+def results_are_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wrong results are errors, whatever the error policy: a fraction or text for a whole number, one out of range, a column of another length."""
+    e, refused = Engine(spark), 0
+    cases = [(lambda x: 1.5, "i64", "scalar"), (lambda x: "a", "i64", "scalar"), (lambda x: 300, "u8", "scalar"), (lambda x: pa.array([1]), "i64", "vectorized")]
+    keys = read(spark, sf_dir, "nation", "n_nationkey")
+    for i, (fun, kind, mode) in enumerate(cases):
+        e.register_scalar(f"wrong_{i}", fun, ["i64"], kind, mode=mode, exception_handling="return_null")
+        try:
+            keys.select(e.call(f"wrong_{i}", "n_nationkey")).collect()
+        except Exception as error:
+            if not any(x in str(error) for x in ("TypeError", "OverflowError", "ValueError", "ArrowInvalid")):
+                raise
+            refused += 1
+    return spark.createDataFrame([(refused,)], "refused long")
+
+
+@query("SELECT 64::BIGINT AS pulled, 1::BIGINT AS ended")
+def query_stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream closed early gives no more."""
+    with Engine(spark).query_stream(read(spark, sf_dir, "lineitem", "l_orderkey"), batch_rows=64) as stream:
+        pulled = stream.next_batch().num_rows
+    return spark.createDataFrame([(pulled, int(stream.next_batch() is None))], "pulled long, ended long")

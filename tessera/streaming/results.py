@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import islice
+import uuid
+from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -12,11 +13,20 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StreamingQuery
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch as bytes."""
+    for batch in batches:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as out:
+            out.write_batch(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch"])
+
+
 class QueryStream:
     """Batches of a query's result: next_batch() gives a table, or None at the end and after close().
 
-    Rows come to the driver a partition at a time, the next one while this one is read. Size
-    partitions, not the result, to the driver's memory.
+    Rows come to the driver in columns, a partition at a time, the next one while this one is read.
+    Size partitions, not the result, to the driver's memory.
     """
 
     def __init__(self, df: DataFrame, batch_rows: int = 2048):
@@ -25,7 +35,14 @@ class QueryStream:
         self.df, self.batch_rows = df, batch_rows
         self.schema = [(f.name, f.dataType.simpleString()) for f in df.schema]
         self._arrow = to_arrow_schema(df.schema)
-        self._rows = df.toLocalIterator(prefetchPartitions=True)
+        self._context, self._tag = df.sparkSession.sparkContext, f"query-stream-{uuid.uuid4().hex}"
+        self._context.addJobTag(self._tag)
+        try:
+            packed = df.toDF(*map(str, range(len(df.columns)))).mapInArrow(_packed, "batch binary")
+            self._rows: Iterator | None = packed.toLocalIterator(prefetchPartitions=True)
+        finally:
+            self._context.removeJobTag(self._tag)
+        self._left: pa.Table | None = None
         self._pulling = False
 
     def __repr__(self) -> str:
@@ -38,18 +55,24 @@ class QueryStream:
             raise RuntimeError("next_batch() is already under way")
         self._pulling = True
         try:
-            rows = list(islice(self._rows, self.batch_rows))
+            found, n = [self._left] if self._left else [], self._left.num_rows if self._left else 0
+            while n < self.batch_rows and (row := next(self._rows, None)) is not None:
+                found.append(pa.ipc.open_stream(row["batch"]).read_all())
+                n += found[-1].num_rows
         finally:
             self._pulling = False
-        if not rows:
+        if not n:
             self.close()
             return None
-        columns = [pa.array([_plain(r[i]) for r in rows], f.type) for i, f in enumerate(self._arrow)]
-        return pa.Table.from_arrays(columns, schema=self._arrow)
+        whole = pa.concat_tables(found)
+        self._left = whole.slice(self.batch_rows) if n > self.batch_rows else None
+        return whole.slice(0, self.batch_rows).rename_columns(self._arrow.names).cast(self._arrow)
 
     def close(self) -> None:
-        """Lets go of the result; more than once is no error."""
-        self._rows = None
+        """Lets go of the result, and ends its job if it runs; more than once is no error."""
+        if self._rows is not None:
+            self._rows = self._left = None
+            self._context.cancelJobsWithTag(self._tag)
 
     def __iter__(self):
         while (batch := self.next_batch()) is not None:
@@ -62,12 +85,6 @@ class QueryStream:
         self.close()
 
 
-def _plain(x: Any) -> Any:
-    if hasattr(x, "asDict"):
-        return x.asDict(recursive=True)
-    return x
-
-
 def windowed_counts(events: DataFrame, time: str, key: str, value: str, length: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Of a stream (or a table): count and sum of value for each key and window, with rows later than ``late`` left out by the watermark."""
     marked = events.withWatermark(time, late)

@@ -121,3 +121,16 @@ def test_tables_of_semantics(spark):
 
     assert semantics.argument_types(spark).count() == 23 and semantics.value_rules(spark, ["i8", t.DECIMAL(4, 2)]).count() == 2 and semantics.modes(spark).count() == 2
     assert Engine(spark).capabilities() == {"variant": True, "time": True} and Engine(spark).backend()["parallelism"] > 0
+
+
+@pytest.mark.parametrize("plan", ["arrow", "pickled"])
+def test_sql_arguments_have_the_declared_types(spark, plan):
+    e = Engine(spark, plan)
+    e.register_scalar("typed_int", lambda x: str(x), ["i64"], "varchar")
+    e.register_scalar("typed_small", lambda x: x, ["u8"], "i64")
+    e.register_scalar("typed_real", lambda x: x / 2, ["f64"], "f64")
+    assert [r[0] for r in spark.sql("SELECT typed_int(x) FROM VALUES (CAST(1 AS TINYINT)), (NULL) AS t(x)").collect()] == ["1", None]
+    assert spark.sql("SELECT typed_real(3), typed_small(7), typed_int(NULL)").first() == (1.5, 7, None)
+    for bad in ("typed_int('abc')", "typed_int(array(1))", "typed_int(1.5D)", "typed_int(true)", "typed_int(1, 2)", "typed_real('1')", "typed_small(300)", "typed_small(-1)"):
+        with pytest.raises(Exception, match="TypeError|OverflowError"):
+            spark.sql(f"SELECT {bad}").collect()

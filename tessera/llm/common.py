@@ -4,27 +4,44 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _DIR = "spark.checkpoint.dir"
+#: Rows and bytes of texts that a function gets at once, about.
+MOST_ROWS, MOST_BYTES = 2000, 16 << 20
+
+
+#: Of local applications without a shared folder: their own.
+_own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The URI of the folder that the driver and all executors share.
 
     It is the one that the cluster names in ``spark.checkpoint.dir``. Only a local session may do
-    without that setting; it then gets a temporary folder, named once per session.
+    without that setting; it then gets a temporary folder, named once per application.
     """
-    named = spark.sparkContext.getConf().get(_DIR) or spark.conf.get(_DIR, None)
+    context = spark.sparkContext
+    named = context.getConf().get(_DIR)
     if not named:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        if not context.master.startswith("local[") and context.master != "local":
             raise RuntimeError(f"set {_DIR} to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set(_DIR, named)
-    return named.rstrip("/") if "://" in named else f"file://{named.rstrip('/')}"
+        if context.applicationId not in _own:
+            _own[context.applicationId] = tempfile.mkdtemp(prefix="tessera-")
+        named = _own[context.applicationId]
+    return qualified(spark, named)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A folder's URI; a bare path is on the default file system of the cluster."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString().rstrip("/")
+    return whole if "://" in whole else whole.replace(":", "://", 1)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -50,23 +67,48 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def in_order(rows: DataFrame, shards: int | None, shard_bytes: int = 256 << 20) -> DataFrame:
+    """rows (doc_id, text) dealt by ranges of id, and sorted so: equal ids by a hash of the text, then by the text; null ids first.
+
+    The hash is part of the range, so rows of one id, or without one, are no hot key. Without
+    ``shards`` there is one for every ``shard_bytes`` of text, and no fewer than a shuffle has.
+    """
+    if shards is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(partitions(rows.sparkSession), -(-size // shard_bytes))
+    mixed = F.xxhash64("text")
+    return rows.repartitionByRange(shards, F.col("doc_id"), mixed).sortWithinPartitions(F.col("doc_id"), mixed, F.col("text"))
+
+
 def before(value: str, order: str):
     """The sum of ``value`` over the rows before this one. For tables with a row per partition only."""
     w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(value).over(w), F.lit(0))
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Long texts: no more than 16 MB or 2,000 rows go to Python at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+def arrow_map(df: DataFrame, fun: Callable, schema: str) -> DataFrame:
+    """df.mapInArrow(fun, schema) for long texts: fun gets no more than 2,000 rows, or about 16 MB of them, at once.
+
+    Batches of the session's size are cut again, by what their rows take; no conf of the session is changed.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def bounded() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = min(MOST_ROWS, max(1, batch.num_rows * MOST_BYTES // max(1, batch.nbytes)))
+                yield from (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+        return fun(bounded())
+
+    return df.mapInArrow(cut, schema)
 
 
 def opened(uri: str):
     """pyarrow's file system for a URI, and the path in it. Runs on executors."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    scheme, colon, rest = uri.partition(":")
+    return fs.FileSystem.from_uri("s3:" + rest if colon and scheme in ("s3a", "s3n") else uri)
 
 
 def runs(sizes, most: int):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import arrow_map
 
 #: Elements whose text is no text of the page, elements without an end, and elements that make no block; fixed by HTML.
 _RAW = "script style textarea title"
@@ -339,7 +339,6 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     broken or cut off anywhere. The model is trained on the driver, over ``training_pages`` labelled
     pages, and goes to the tasks as a few hundred numbers. Other columns are not read.
     """
-    bounded_batches(pages.sparkSession)
     model = Model(labelled_pages(training_pages))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,4 +347,4 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
-    return rows.mapInArrow(extract, "page_id long, url string, text string, n_chars long")
+    return arrow_map(rows, extract, "page_id long, url string, text string, n_chars long")

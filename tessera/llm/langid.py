@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bounded_batches, runs, written
+from .common import arrow_map, runs, written
 
 UNKNOWN = "und"
 #: Longest letter sequence.
@@ -187,7 +187,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     for lang, n in priors.items():
         share = F.when(F.col("lang") == lang, min(1.0, per_language / n)).otherwise(share)
     dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) / 1e6
-    counts = usable.where(dealt < share).select("lang", "text").mapInArrow(_count, "lang string, n int, gram string, count long")
+    counts = arrow_map(usable.where(dealt < share).select("lang", "text"), _count, "lang string, n int, gram string, count long")
     counts = counts.groupBy("lang", "n", "gram").agg(F.sum("count").alias("count")).where("count > 1")
     rank = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("count"), "gram"))
     rows = counts.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank").collect()  # at most `most` for each kind and language
@@ -201,7 +201,6 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     learned. Texts of one word or a million are scored whole. All rows and other columns stay.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

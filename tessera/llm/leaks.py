@@ -3,12 +3,17 @@
 Texts become sequences of words. A CGK walk maps a sequence to a string of fixed length: at step j
 it puts out its current word, and moves on by a random bit that hangs on j and that word alone. Two
 sequences a small edit distance apart meet again after each edit, so their strings differ in few
-places. Each of ``tables`` walks is sampled at ``samples`` steps; a window of a document and an
-item that agree on all samples of a table are candidates, and each candidate is then checked by its
-exact edit distance over words. Windows are as long as the items of their class of lengths (classes
-a quarter wide), and begin at every word.
+places. Each walk is sampled at SAMPLES of its steps; a window of a document and an item that agree
+on all samples of a walk are candidates, and each candidate is then checked by its exact edit
+distance over words. How many walks a class of lengths gets is measured when the index is built: the
+fewest that find RECALL of pieces of its items after all edits that count, whatever their kind.
 
-Windows that cannot match are passed over first, and no other ones. An item of n words with at most
+Windows are as long as the items of their class (classes a tenth wide), and begin at every word. An
+item of more than LONGEST words is sought by its pieces: with E edits in k pieces, some piece has
+E // k at most, which keeps the share of edits, and strings do not drift apart over hundreds of
+steps. What is checked is the whole item.
+
+Windows that cannot match are passed over first, and no other ones. A piece of n words with at most
 d edits keeps n - d of them, in d + 1 runs at most; so a window must hold so many words of the
 benchmark, and one run of ceil((n - d) / (d + 1)) words of some item.
 """
@@ -17,14 +22,19 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, runs
+from .common import arrow_map, runs, written
 
-TABLES, SAMPLES = 16, 2
+SAMPLES = 2
+#: The share of a class's edited pieces that its walks must find, and walks at most.
+RECALL, MOST_TABLES = 0.95, 96
+#: Words of an item that is one piece.
+LONGEST = 36
 #: Items that tasks get to know at once, about; more are looked for in further passes.
 BLOCK = 10_000
 _MIX = 0x9E3779B97F4A7C15
@@ -62,10 +72,20 @@ def best_match(item: list[int], text: list[int]) -> tuple[int, int]:
     return best, end
 
 
+def edited(words: list[int], n: int, kind: int, other: int, rng) -> list[int]:
+    """words after n edits: insertions (kind 0), deletions (1), changes (2) or any (3), with words from ``other`` on as new ones."""
+    out = list(words)
+    for k in range(n):
+        what = kind if kind < 3 else int(rng.integers(3))
+        at = int(rng.integers(len(out) + (what == 0))) if out or what == 0 else 0
+        out[at : at + (what != 0)] = [] if what == 1 else [other + k]
+    return out
+
+
 class Index:
     """Items, with the samples of their walks by class of lengths."""
 
-    def __init__(self, items: list[tuple], similarity: float, tables: int = TABLES, samples: int = SAMPLES, seed: int = 5):
+    def __init__(self, items: list[tuple], similarity: float, samples: int = SAMPLES, recall: float = RECALL, seed: int = 5):
         """items: (item_id, text). Items without words are left out."""
         import numpy as np
 
@@ -76,41 +96,67 @@ class Index:
             if words:
                 self.names.append(name)
                 self.items.append([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in words])
+        self.sets = [np.unique(x) for x in self.items]
         self.edits = [int((1 - similarity) * len(x) + 1e-9) for x in self.items]
-        self.tables = tables
+        self.samples, self.recall = samples, recall
         rng = np.random.default_rng(seed)
         self.end = len(self.vocabulary) + 1  # the symbol past a window's end; 0 is a word of no item
+        self.salt = rng.integers(0, 1 << 64, MOST_TABLES, np.uint64)
+        self.times = rng.integers(0, 1 << 63, (2 * LONGEST, MOST_TABLES), np.uint64) * np.uint64(2) + np.uint64(1)
+        self.plus = rng.integers(0, 1 << 64, (2 * LONGEST, MOST_TABLES), np.uint64)
         longest = max(map(len, self.items), default=1)
-        self.bits = rng.integers(0, 1 << 64, (2 * longest // 64 + 1, self.end + 1, tables), np.uint64)
-        self.salt = rng.integers(0, 1 << 64, tables, np.uint64)
-        self.pad = longest + max(self.edits, default=0) + 1
+        self.pad = longest + 2 * max(self.edits, default=0) + 1
+        todo: list[tuple[int, int, int, int]] = []  # pieces: words, edits, item, where it begins there
+        for i, x in enumerate(self.items):
+            k = 1 if len(x) <= LONGEST else round(len(x) / 24)
+            size = len(x) // k
+            todo += [(size, self.edits[i] // k, i, j * size) for j in range(k)]
+        todo.sort()
         self.classes = []
-        todo = sorted(range(len(self.items)), key=lambda i: len(self.items[i]))
         while todo:
-            floor = len(self.items[todo[0]])
-            mine = [i for i in todo if len(self.items[i]) <= max(floor, int(1.25 * floor))]
+            floor = todo[0][0]
+            mine = [x for x in todo if x[0] <= max(floor, int(1.1 * floor))]
             todo = todo[len(mine) :]
-            self.classes.append(self._class(floor, mine, samples, rng))
+            self.classes.append(self._class(floor, mine, rng))
 
-    def _class(self, floor: int, mine: list[int], samples: int, rng) -> dict:
+    def _class(self, floor: int, mine: list[tuple[int, int, int, int]], rng) -> dict:
         import numpy as np
 
-        steps = np.zeros((2 * floor, self.tables), bool)
-        for t in range(self.tables):
-            steps[rng.choice(2 * floor, min(samples, 2 * floor), replace=False), t] = True
+        steps = np.zeros((2 * floor, MOST_TABLES), bool)
+        part = 2 * floor / self.samples
+        for t in range(MOST_TABLES):  # a step in each part: steps next to each other often put out one word
+            steps[np.floor(rng.random() * part + part * np.arange(self.samples)).astype(int), t] = True
+        pieces = [self.items[i][at : at + size] for size, _, i, at in mine]
+        steps = steps[:, : self._enough(floor, pieces, max(e for _, e, *_ in mine), steps, rng)]
         known = np.zeros(self.end + 1, bool)
-        for i in mine:
-            known[self.items[i]] = True
-        run = min(-(-(len(self.items[i]) - self.edits[i]) // (self.edits[i] + 1)) for i in mine)
+        for x in pieces:
+            known[x] = True
+        run = min(-(-(size - e) // (e + 1)) for size, e, *_ in mine)
         run = max(1, min(run, floor))
-        grams = np.unique(np.concatenate([self.grams(np.array(self.items[i]), run) for i in mine]))
-        windows = np.array([self.items[i][:floor] for i in mine])
-        keys = self.walk(windows, steps)
-        flat, who = keys.ravel(), np.repeat(np.array(mine), self.tables)
+        grams = np.unique(np.concatenate([self.grams(np.array(x), run) for x in pieces]))
+        keys = self.walk(np.array([x[:floor] for x in pieces]), steps)
+        flat, who = keys.ravel(), np.repeat(np.arange(len(mine)), steps.shape[1])
         order = np.argsort(flat, kind="stable")
-        most = max(self.edits[i] for i in mine)
-        reach = max(len(self.items[i]) for i in mine) + most
-        return {"floor": floor, "steps": steps, "known": known, "run": run, "grams": grams, "keys": flat[order], "items": who[order], "least": floor - most, "reach": reach}
+        most = max(e for _, e, *_ in mine)
+        reach = max(size for size, *_ in mine) + most
+        item, begin = (np.array([x[k] for x in mine]) for k in (2, 3))
+        return {"floor": floor, "steps": steps, "known": known, "run": run, "grams": grams, "keys": flat[order], "items": item[who[order]], "begins": begin[who[order]], "least": floor - most, "reach": reach}
+
+    def _enough(self, floor: int, pieces: list[list[int]], edits: int, steps, rng) -> int:
+        """How many walks find the share of edited pieces, for the kind of edits that needs most."""
+        import numpy as np
+
+        if not edits:
+            return 1
+        need = 1
+        chosen = [pieces[int(i)] for i in rng.integers(len(pieces), size=150)]
+        own = self.walk(np.array([x[:floor] for x in chosen]), steps)
+        for kind in range(4):
+            texts = [edited(x, edits, kind, self.end + 1, rng) + list(range(self.end + 100, self.end + 100 + floor)) for x in chosen]
+            same = self.walk(np.array([x[:floor] for x in texts]), steps) == own
+            first = np.sort(np.where(same.any(1), same.argmax(1), MOST_TABLES))
+            need = max(need, int(first[int(np.ceil(self.recall * len(first))) - 1]) + 1)
+        return min(need, MOST_TABLES)
 
     def grams(self, words, run: int):
         import numpy as np
@@ -125,22 +171,22 @@ class Index:
         """The key of each window in each table: a hash of the table and its sampled symbols."""
         import numpy as np
 
-        n, floor = windows.shape
-        ended = np.concatenate([windows, np.full((n, 1), self.end)], axis=1)
-        at = np.zeros((n, self.tables), np.int64)
-        keys = np.broadcast_to(self.salt, (n, self.tables)).copy()
-        tables, rows = np.arange(self.tables), np.arange(n)[:, None]
+        (n, floor), tables = windows.shape, steps.shape[1]
+        flat = np.concatenate([windows, np.full((n, 1), self.end)], axis=1).astype(np.uint64).ravel()
+        begin = np.arange(n)[:, None] * (floor + 1)
+        at = np.zeros((n, tables), np.int64)
+        keys = np.broadcast_to(self.salt[:tables], (n, tables)).copy()
         for j in range(int(np.flatnonzero(steps.any(1)).max()) + 1):
-            here = ended[rows, np.minimum(at, floor)]
+            here = flat[begin + np.minimum(at, floor)]
             own = steps[j]
             if own.any():
-                mixed = (keys[:, own] ^ here[:, own].astype(np.uint64)) * np.uint64(_MIX)
+                mixed = (keys[:, own] ^ here[:, own]) * np.uint64(_MIX)
                 keys[:, own] = mixed ^ (mixed >> np.uint64(31))
-            at += ((self.bits[j // 64][here, tables] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64)
+            at += ((here * self.times[j, :tables] + self.plus[j, :tables]) >> np.uint64(63)).astype(np.int64)
         return keys
 
     def candidates(self, flat) -> set[tuple[int, int]]:
-        """(place, item) in a sequence of word ids."""
+        """(place, item) in a sequence of word ids; an item of several pieces may begin before the sequence does."""
         import numpy as np
 
         out: set[tuple[int, int]] = set()
@@ -169,7 +215,8 @@ class Index:
                 low, high = np.searchsorted(c["keys"], keys), np.searchsorted(c["keys"], keys, "right")
                 for r, t in zip(*np.nonzero(high > low)):
                     place = int(own[r])
-                    out.update((place, int(x)) for x in c["items"][low[r, t] : high[r, t]])
+                    found = slice(low[r, t], high[r, t])
+                    out.update(zip((place - c["begins"][found]).tolist(), c["items"][found].tolist()))
         return out
 
 
@@ -198,8 +245,9 @@ class Finder:
         flat = np.concatenate([y for x in own for y in (x, gap)]) if own else gap
         begins = np.cumsum([0, *(len(x) + index.pad for x in own)])
         spans: dict[tuple[int, int], list[int]] = {}
-        for place, item in index.candidates(flat):
-            text = int(np.searchsorted(begins, place, "right")) - 1
+        found = sorted(index.candidates(flat))
+        owner = np.searchsorted(begins - index.pad, [x for x, _ in found], "right") - 1  # a gap before a text is its own
+        for (place, item), text in zip(found, owner.tolist()):
             spans.setdefault((text, item), []).append(place - int(begins[text]))
         out = []
         for (text, item), places in sorted(spans.items()):
@@ -209,11 +257,14 @@ class Finder:
             k = 0
             while k < len(places):  # places near each other are checked as one
                 first = last = places[k]
-                while k < len(places) and places[k] <= last + most + 1:
+                while k < len(places) and places[k] <= last + 2 * most + 1:
                     last = places[k]
                     k += 1
                 low = max(0, first - most)
-                part = own[text][low : last + len(words) + most].tolist()
+                near = own[text][low : max(0, last + len(words) + 2 * most)]
+                if np.count_nonzero(np.isin(near, index.sets[item])) < len(words) - most:
+                    continue  # too few of the item's words
+                part = near.tolist()
                 distance, end = best_match(words, part)
                 if distance <= most and (found is None or distance < found[2]):
                     _, back = best_match(words[::-1], part[:end][::-1])
@@ -223,17 +274,17 @@ class Finder:
         return out
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", similarity: float = 0.8, tables: int = TABLES, samples: int = SAMPLES, block: int = BLOCK) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", similarity: float = 0.8, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """Which items are in which documents: doc_id, item_id, start, n_words, distance, similarity.
 
     An item of n words is in a document if some part of it is within (1 - similarity) * n edits of
     words (insertions, deletions, changes); start is that part's first word and n_words its length,
     for the nearest part, of equal ones the first to end. A row for each document row and item,
     also of equal ids; null or wordless texts and items have none. Documents are read where they
-    lie, once for each ``block`` items (by hash, so about as many), and not shuffled.
+    lie, once for each ``block`` items (by hash, so about as many), and not shuffled. With several
+    passes each one's rows are written before the next begins, so that the driver has one index.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     wanted = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where(F.col("text").isNotNull())
     passes = -(-max(1, wanted.count()) // block)
@@ -241,7 +292,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
     def within(k: int) -> DataFrame:
         mine = wanted.where(dealt == k) if passes > 1 else wanted
-        shared = spark.sparkContext.broadcast(Index([tuple(r) for r in mine.collect()], similarity, tables, samples))
+        shared = spark.sparkContext.broadcast(Index([tuple(r) for r in mine.collect()], similarity, recall=recall))
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             finder = Finder(shared.value)
@@ -256,18 +307,20 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                         near = [1 - d / len(index.items[i]) for d, i in zip(distance, item)]
                         yield pa.RecordBatch.from_arrays([ids, pa.array([index.names[i] for i in item], pa.int64()), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(distance, pa.int32()), pa.array(near, pa.float64())], ["doc_id", "item_id", "start", "n_words", "distance", "similarity"])
 
-        return rows.mapInArrow(find, "doc_id long, item_id long, start int, n_words int, distance int, similarity double")
+        return arrow_map(rows, find, "doc_id long, item_id long, start int, n_words int, distance int, similarity double")
 
-    out = within(0)
-    for k in range(1, passes):
-        out = out.unionByName(within(k))
-    return out
+    if passes == 1:
+        return within(0)
+    return reduce(DataFrame.unionByName, [written(within(k), "leaks") for k in range(passes)])
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs, with all their columns, whose id is not that of a document with an item.
+    """The rows of docs, with all their columns, whose text holds no item.
 
-    A row with a null id stays. Other arguments are find_leaks()'s.
+    Rows are told apart by a hash of id and text: one without an id goes too if it holds an item,
+    and one that shares its id with another row stays if it holds none. Other arguments are
+    find_leaks()'s.
     """
-    found = find_leaks(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(found, F.col(id_col) == F.col("_leaked"), "left_anti")
+    keyed = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
+    found = find_leaks(keyed, items, "_row", text_col, **options).select(F.col("doc_id").alias("_leaked")).distinct()
+    return keyed.join(found, F.col("_row") == F.col("_leaked"), "left_anti").drop("_row")

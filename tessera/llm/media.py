@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import arrow_map
 
 WIDTH = 64
 #: The first bytes of every PNG file; fixed by the format.
@@ -158,9 +158,8 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     A row for each row, also of equal ids; a null text is an empty one, and that is a row of zeros.
     Equal texts give equal media. Other columns are not read.
     """
-    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_encode, "doc_id long, n_bytes long, media binary")
+    return arrow_map(rows, _encode, "doc_id long, n_bytes long, media binary")
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +180,7 @@ def media_features(media: DataFrame) -> DataFrame:
     """What the stored images of to_media() hold: payload_bytes, payload_sha256, tail_crc32 (of the last
     64 bytes) and phash (binary; 64 bits), beside to_media()'s columns. A damaged image is an error."""
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, phash binary, media binary"
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(_decode, schema)
+    return arrow_map(media.select("doc_id", "n_bytes", "media"), _decode, schema)
 
 
 def media_digests(docs: DataFrame) -> DataFrame:

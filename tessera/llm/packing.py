@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import before, bounded_batches, partitions, runs, written
+from .common import arrow_map, before, in_order, runs, written
 from .encode import encoder
 
 SENTENCE, INSIDE, GAP = 4, 64, 512
@@ -168,17 +168,16 @@ def pack(docs: DataFrame, tokenizer: str, cut: str | None, end_id: int, window:
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids (binary,
     little-endian unsigned 32-bit) with ``with_ids``. Each document's ids end with ``end_id``; a
     null text is an empty one, so it has that id alone. Documents keep the order of their ids
-    (equal ids by text, a null id first), within a shard and from shard to shard. A shard is a
+    (equal ids by a hash of the text, then by text; a null id first), within a shard and from shard to shard. A shard is a
     range of ids, cut up by itself, so that at most its last sequence is short; that one is split
     into powers of two, which need no padding, where the cuts cost less than the padding. An empty
     table gives no piece; other columns are not read.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    dealt = rows.repartitionByRange(shards or partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    dealt = in_order(rows, shards)
     schema = "shard int, local long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, offset long, ids binary"
-    pieces = written(dealt.mapInArrow(_pack(tokenizer, cut, end_id, window, sentence, inside, with_ids), schema), "pieces")
+    pieces = written(arrow_map(dealt, _pack(tokenizer, cut, end_id, window, sentence, inside, with_ids), schema), "pieces")
     sizes = pieces.groupBy("shard").agg((F.max("local") + 1).alias("n")).withColumn("base", before("n", "shard"))
     joined = pieces.join(F.broadcast(sizes.select("shard", "base")), "shard")  # a row for each shard
     out = joined.withColumn("sequence_id", F.col("base") + F.col("local"))

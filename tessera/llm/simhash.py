@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, discard, partitions, scratch, written
+from .common import arrow_map, discard, partitions, scratch, written
 
 BITS = 64
 #: Fingerprints that the tree is built from, at most; it has at most as many nodes.
@@ -68,7 +68,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text is one shingle, and a null text or one without words has fingerprint 0. Other columns are
     not read.
     """
-    bounded_batches(docs.sparkSession)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -79,7 +78,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(each, "doc_id long, fp long")
+    return arrow_map(rows, each, "doc_id long, fp long")
 
 
 class Tree:

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import before, bounded_batches, opened, partitions, runs, scratch, written
+from .common import arrow_map, before, in_order, opened, partitions, runs, scratch, written
 from .encode import encoder
 
 SHARD = "shard int, path string, id_bytes int, n_docs long, n_tokens long"
@@ -65,16 +65,15 @@ def write_tokens(docs: DataFrame, tokenizer: str, cut: str | None, end_id: int,
     Columns: shard, path (a URI without the suffix), id_bytes, n_docs, n_tokens, base. A null text
     counts as an empty one, and each document ends with ``end_id``. Documents are dealt by ranges
     of their id, so the text is shuffled once, and each task writes its shard as it encodes.
-    Documents of one id follow each other by text; a null id comes first. An empty table gives no
+    Documents of one id follow each other by a hash of the text, then by text; a null id comes first. An empty table gives no
     shard. Other columns are not read. The files of a task that failed are left unnamed by the
     result.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     folder = folder or scratch(spark, "tokens")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    dealt = rows.repartitionByRange(shards or partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    found = written(dealt.mapInArrow(_write_shard(folder, tokenizer, cut, end_id), SHARD), "shards")
+    dealt = in_order(rows, shards)
+    found = written(arrow_map(dealt, _write_shard(folder, tokenizer, cut, end_id), SHARD), "shards")
     return found.withColumn("base", before("n_tokens", "shard"))
 
 

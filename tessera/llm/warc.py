@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, opened, partitions, scratch, written
+from .common import arrow_map, opened, partitions, scratch, written
 
 #: Fixed by the WARC standard.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -108,9 +108,8 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     A null html is an empty payload; a null url leaves its field out, as a null id does. An empty
     table gives no archive. Other columns are not read.
     """
-    bounded_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
-    return written(rows.mapInArrow(_write(folder or scratch(pages.sparkSession, "warc")), FILES), "archives")
+    return written(arrow_map(rows, _write(folder or scratch(pages.sparkSession, "warc")), FILES), "archives")
 
 
 def _members(path: str) -> Iterator[tuple[int, int, bytes]]:

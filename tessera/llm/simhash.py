@@ -43,22 +43,17 @@ def fingerprint(text: bytes, words: int) -> int:
         return 0
     shingles = map(b" ".join, zip(*(found[i:] for i in range(words)))) if len(found) >= words else [b" ".join(found)]
     digest = xxhash.xxh64_intdigest
-    total, counts = 0, np.zeros(BITS, np.int64)
-    block: list[int] = []
-
-    def add() -> None:
-        h = np.array(block, "<u8").view(np.uint8).reshape(-1, 8)
-        counts[:] += np.unpackbits(h, axis=1, bitorder="little").sum(0, dtype=np.int64)
-
-    for x in shingles:
-        block.append(digest(x, 42))
-        if len(block) == 65536:
-            add()
-            total += len(block)
-            block.clear()
-    add()
-    total += len(block)
-    return int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
+    return majority(np.fromiter((digest(x, 42) for x in shingles), np.uint64))
+
+
+def majority(hashes) -> int:
+    """Bit i is set if over half the hashes have it; of none, 0."""
+    import numpy as np
+
+    counts = np.zeros(BITS, np.int64)
+    for i in range(0, len(hashes), 65536):
+        counts += np.unpackbits(hashes[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:

@@ -1,24 +1,28 @@
 """Operator 10: SimHash near-duplicates, found by vantage-point trees over fingerprints.
 
-Two fingerprints within r bits agree on at least one of r + 1 blocks of bits. So each block's
-value deals the distinct fingerprints into buckets, and a pair is sought within the buckets that it
-shares. A bucket that is too large for one task is split by a vantage-point tree: each node parts
-fingerprints by whether they are within its radius of its vantage point. By the triangle inequality
-a fingerprint's partners lie beyond the boundary only if its own distance is within r of the
-radius; so each goes to every shard whose region comes that near, and pairs are sought within
-shards. (One tree over all fingerprints, without the blocks, prunes little: distances of unrelated
-64-bit fingerprints gather at 32 bits, 68 % of them within 4 of it, and each level would send those
-both ways.)
-
-Within a shard, distances to a vantage point prune by the same bound, and links are reported as a
-spanning forest, not as all pairs of a group. Components are then joined across shards by
-iterated minima over written tables.
+A tree parts fingerprints into shards: each node by whether they are within its radius of its
+vantage point. By the triangle inequality a fingerprint's partners lie beyond the boundary only if
+its own distance is within r of the radius; so each goes to every shard whose region comes that
+near, and exact pairs are sought within shards, where distances to a vantage point prune by the same
+bound.
+
+Distances of unrelated 64-bit fingerprints gather at 32 bits, 68 % of them within 4 of it, so each
+level of a tree sends those both ways: a tree alone is no way to make shards small. Two fingerprints
+within r bits agree on at least m - r of m blocks of bits, so what the tree parts are buckets of
+fingerprints that agree on m - r blocks, one for each choice of the blocks. m grows with the number of
+fingerprints (copies of each: 5 buckets up to 0.5 million, 15 up to 134 million, 35 up to 9 billion), so
+that unrelated ones are few in a bucket and work grows with the input, not with its square. Each
+bucket is parted by the tree at one level at least; one that is larger than a shard by more.
+
+Links are reported as a spanning forest, not as all pairs of a group. Components are then joined
+across shards by iterated minima over written tables.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Iterator
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,8 +33,15 @@ from .common import arrow_map, discard, partitions, scratch, written
 BITS = 64
 #: Fingerprints that the tree is built from, at most; it has at most as many nodes.
 SAMPLE = 4096
-#: Fingerprints that a shard should have, at most.
-SHARD = 512
+#: Fingerprints that a shard should have, at most; and that a bucket has of unrelated ones, about.
+SHARD, CROWD = 512, 64
+#: Fingerprints from which sizes of buckets are estimated.
+COUNTED = 1_000_000
+#: Levels that part a large bucket, at most: a dense group goes both ways at most of them.
+LEVELS = 6
+#: Buckets whose size tasks get to know, at most.
+BUCKETS = 100_000
+_MIX = 0x9E3779B97F4A7C15
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -108,13 +119,26 @@ class Tree:
         return who, at
 
 
-def _blocks(fps, reach: int):
-    """The value of each of reach + 1 blocks of bits."""
+def blocks_for(n: int, reach: int) -> int:
+    """Into how many blocks the bits are cut, so that n unrelated fingerprints make buckets of CROWD at most."""
+    m = reach + 1
+    while m < BITS // 4 and n > CROWD << BITS * (m - reach) // m:
+        m += 1
+    return m
+
+
+def _buckets(fps, reach: int, m: int):
+    """The key of each bucket of each fingerprint: the values of m - reach of m blocks of bits, for each choice of them."""
     import numpy as np
 
-    edges = [BITS * i // (reach + 1) for i in range(reach + 2)]
-    for low, high in zip(edges, edges[1:]):
-        yield (fps >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)
+    edges = [BITS * i // m for i in range(m + 1)]
+    values = [(fps >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1) for low, high in zip(edges, edges[1:])]
+    for k, chosen in enumerate(combinations(values, m - reach), 1):
+        key = np.full(len(fps), k, np.uint64)
+        for v in chosen:
+            key = (key ^ v) * np.uint64(_MIX)
+            key ^= key >> np.uint64(29)
+        yield key
 
 
 def linked(fps, reach: int) -> list[tuple[int, int]]:
@@ -129,21 +153,23 @@ def linked(fps, reach: int) -> list[tuple[int, int]]:
     away = np.bitwise_count(fps ^ fps[0])
     order = np.argsort(away, kind="stable")
     points, away = fps[order], away[order].astype(np.int64)
-    lows, highs = np.searchsorted(away, away - reach), np.searchsorted(away, away + reach, "right")
-    free = np.ones(len(points), bool)
-    out = []
-    for root in range(len(points)):
-        if not free[root]:
-            continue
-        free[root] = False
-        todo = [root]
-        while todo:
-            i = todo.pop()
-            low, high = lows[i], highs[i]
-            near = low + np.flatnonzero((np.bitwise_count(points[low:high] ^ points[i]) <= reach) & free[low:high])
-            free[near] = False
-            out += [(int(points[i]), int(points[j])) for j in near]
-            todo += near.tolist()
+    out, todo, free = [], [], np.ones(len(points), bool)
+    left = len(points)
+    while left:
+        if 2 * left < len(points):  # what is reached is no longer looked at: a dense group takes no square of its size
+            points, away, free = points[free], away[free], np.ones(left, bool)
+        if not todo:
+            i = int(free.argmax())
+            free[i] = False
+            left -= 1
+            todo.append((points[i], int(away[i])))
+        point, d = todo.pop()
+        low, high = np.searchsorted(away, [d - reach, d + reach + 1]).tolist()
+        near = low + np.flatnonzero(free[low:high] & (np.bitwise_count(points[low:high] ^ point) <= reach))
+        free[near] = False
+        left -= len(near)
+        out += [(int(point), int(x)) for x in points[near]]
+        todo += zip(points[near], away[near].tolist())
     return out
 
 
@@ -204,46 +230,46 @@ def links(nodes: DataFrame, reach: int, shard: int = SHARD, sample: int = SAMPLE
 
     Not all of them: enough that whatever is linked is connected. ``sample`` fingerprints at most,
     chosen by hash, make the tree; its depth in a bucket follows the bucket's size, so that shards
-    of unrelated fingerprints have ``shard`` or fewer. The bucket sizes that tasks get to know are a
-    row for each value of a block, at most (reach + 1) * 2 ** ceil(64 / (reach + 1)), and of those
-    only the ones above ``shard``.
+    of unrelated fingerprints have ``shard`` or fewer. Sizes of buckets are estimated from COUNTED
+    fingerprints, chosen by hash; the driver and the tasks get those above ``shard`` only, and of
+    these the BUCKETS largest. A wrong estimate makes a shard larger or smaller, and no link is lost.
     """
     import numpy as np
 
     spark = nodes.sparkSession
     total = nodes.count()
-    chosen = nodes.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / 2 / max(1, total)))).limit(sample)
+    m = blocks_for(total, reach)
+    dealt_by = F.pmod(F.xxhash64("fp"), F.lit(1 << 30))
+    chosen = nodes.where(dealt_by < int((1 << 30) * min(1.0, sample / 2 / max(1, total)))).limit(sample)
     points = [r["fp"] & ((1 << BITS) - 1) for r in chosen.collect()]
-    tree = Tree(points, max(0, (len(points) // 4).bit_length()))
+    tree = Tree(points, max(1, (len(points) // 4).bit_length()))
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = batch.column(0).to_numpy().view(np.uint64)
-            for k, values in enumerate(_blocks(fps, reach)):
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(fps), pa.int32()), pa.array(values.astype(np.int64))], ["block", "value"])
+            for key in _buckets(batch.column(0).to_numpy().view(np.uint64), reach, m):
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["bucket"])
 
-    sizes = nodes.select("fp").mapInArrow(bucket, "block int, value long").groupBy("block", "value").count().where(F.col("count") > shard)
-    large = {(r["block"], r["value"]): max(1, (-(-r["count"] // shard) - 1).bit_length()) for r in sizes.collect()}
-    shared = spark.sparkContext.broadcast((tree, large))
+    rate = min(1.0, COUNTED / max(1, total))
+    some = nodes.where(dealt_by < int((1 << 30) * rate)).select("fp").mapInArrow(bucket, "bucket long")
+    sizes = some.groupBy("bucket").count().where(F.col("count") > shard * rate).orderBy(F.desc("count"), "bucket").limit(BUCKETS)
+    large = sorted((r["bucket"] & ((1 << 64) - 1), min(LEVELS, max(1, int(-(-r["count"] // (shard * rate)) - 1).bit_length()))) for r in sizes.collect())
+    shared = spark.sparkContext.broadcast((tree, np.array([k for k, _ in large], np.uint64), np.array([n for _, n in large], np.int64)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, large = shared.value
-        depths = {k: sorted((v, n) for (b, v), n in large.items() if b == k) for k in range(reach + 1)}
+        tree, keys, levels = shared.value
         for batch in batches:
             fps = batch.column(0).to_numpy().view(np.uint64)
-            for k, values in enumerate(_blocks(fps, reach)):
-                values = values.astype(np.int64)
-                depth = np.zeros(len(fps), np.int64)
-                if depths[k]:
-                    v, n = (np.array(x) for x in zip(*depths[k]))
-                    i = np.minimum(np.searchsorted(v, values), len(v) - 1)
-                    depth = np.where(v[i] == values, n[i], 0)
+            for key in _buckets(fps, reach, m):
+                depth = np.ones(len(fps), np.int64)
+                if len(keys):
+                    i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                    depth = np.where(keys[i] == key, levels[i], depth)
                 for n in np.unique(depth).tolist():
                     mine = np.flatnonzero(depth == n)
                     who, at = tree.shards(fps[mine], n, reach)
                     who = mine[who]
-                    key = (np.int64(k) << 58) | (values[who] << 26) ^ at
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fps[who].view(np.int64))], ["shard", "fp"])
+                    shards = (key[who] + at.view(np.uint64)) * np.uint64(_MIX)
+                    yield pa.RecordBatch.from_arrays([pa.array(shards.view(np.int64)), pa.array(fps[who].view(np.int64))], ["shard", "fp"])
 
     dealt = nodes.select("fp").mapInArrow(deal, "shard long, fp long")
     grouped = dealt.repartition(partitions(spark), "shard").sortWithinPartitions("shard")

@@ -1,9 +1,12 @@
+import math
 import random
+import time
 
 import numpy as np
+import pytest
 import xxhash
 
-from tessera.llm.simhash import Tree, components, drop_near_duplicates, fingerprint, linked, links, near_duplicates
+from tessera.llm.simhash import SHARD, Tree, _buckets, blocks_for, components, drop_near_duplicates, fingerprint, linked, links, near_duplicates
 
 
 def slow_fingerprint(text, n=4):
@@ -69,7 +72,7 @@ def test_links_connect_what_is_near(spark):
     want = roots(fps, 4)
     assert len({want[a] for a, _ in linked(np.array(fps, np.uint64), 4)}) <= len(set(want.values()))
     nodes = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
-    for shard in (4, 512):  # 4: buckets are split by the tree
+    for shard in (4, SHARD):
         edges = links(nodes, 4, shard=shard, sample=256)
         found = {row["node"]: row["root"] for row in components(edges).collect()}
         groups = {}
@@ -78,6 +81,38 @@ def test_links_connect_what_is_near(spark):
         assert all(len(x) == 1 for x in groups.values()) and len(groups) == len(set(want.values()))
 
 
+@pytest.mark.parametrize("n,m", [(10**5, 5), (10**6, 6), (10**9, 7), (10**11, 8)])
+def test_near_fingerprints_share_a_bucket(n, m):
+    r = random.Random(n)
+    fps = np.array([r.getrandbits(64) for _ in range(300)], np.uint64)
+    near = fps.copy()
+    for _ in range(4):
+        near ^= np.array([1 << r.randrange(64) for _ in fps], np.uint64)
+    assert blocks_for(n, 4) == m
+    pairs = list(zip(_buckets(fps, 4, m), _buckets(near, 4, m)))
+    assert len(pairs) == math.comb(m, 4) and np.any([a == b for a, b in pairs], axis=0).all()
+
+
+def test_a_level_of_the_tree_deals_all_and_some_to_both_sides():
+    r = random.Random(4)
+    fps = np.array([r.getrandbits(64) for _ in range(500)], np.uint64)
+    who, at = Tree(fps[:100].tolist(), 5).shards(fps, 1, 4)
+    assert set(who.tolist()) == set(range(500)) and set(at.tolist()) == {1, 2} and 1.3 * 500 < len(who) < 2 * 500
+
+
+def test_a_dense_group_takes_no_square_of_its_size():
+    r = random.Random(6)
+    center = r.getrandbits(64)
+    fps = set()
+    while len(fps) < 60_000:
+        x = center
+        for _ in range(r.randint(1, 6)):
+            x ^= 1 << r.randrange(64)
+        fps.add(x)
+    begin = time.time()
+    assert len(linked(np.array(sorted(fps), np.uint64), 4)) == len(fps) - 1 and time.time() - begin < 30
+
+
 def test_rows(spark):
     base = " ".join(f"word{i}" for i in range(400))
     rows = [(9, base), (4, base), (2, base + " more"), (7, None), (8, ""), (5, "lone text of its own"), (None, base), (5, "lone text of its own")]

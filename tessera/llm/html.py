@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,15 +36,14 @@ _CLOSES = {
 }
 _SCOPE = frozenset("ul ol dl table div section article".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + _RAW.replace(" ", "|") + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
+#: A tag's name; what ends a tag or begins a quoted value in it; the end tags of _RAW.
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r">|=\s*[\"']")
+_RAW_END = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*>", re.I) for x in _RAW.split()}
 _ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
 
-#: What words in classes and ids tell; the first group that has one of a name's words counts.
+#: What words in classes and ids tell.
 _NAMED = {
     "comment": "comment comments disqus reply replies respond discussion",
     "advert": "ad ads advert adverts advertisement sponsor sponsored promo banner adsense",
@@ -55,7 +55,61 @@ _NAMED = {
     "form": "form login signup search contact",
     "main": "article content main post entry story body text page maincontent",
 }
-_GROUP = {w: k for k, words in reversed(_NAMED.items()) for w in words.split()}
+_GROUP = {w: k for k, words in _NAMED.items() for w in words.split()}
+
+
+class Token(NamedTuple):
+    """A piece of markup: where it is, and of tags the lower-case name, whether it is an end tag, and what follows the name."""
+
+    begin: int
+    end: int
+    tag: str | None = None
+    closes: bool = False
+    attrs: str = ""
+
+
+def tokens(page: str) -> Iterator[Token]:
+    """The markup in page order; what lies between is text.
+
+    An element of _RAW is one piece, up to its end tag. A tag that is not closed is text. Each
+    character is looked at a bounded number of times: what is once found to have no end is not
+    sought again.
+    """
+    at, last, quoted = 0, page.rfind(">"), {"'": True, '"': True}
+    whole = True  # whether tags may hold > in quotes
+    while 0 <= (begin := page.find("<", at)) < last:
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            at = len(page) if end < 0 else end + 3
+            yield Token(begin, at)
+            continue
+        name = _NAME.match(page, begin + 1)
+        if not name:
+            at = begin + 1
+            if page[at : at + 1] in ("!", "?", "/"):
+                at = page.find(">", at) + 1
+                yield Token(begin, at)
+            continue
+        at, end = name.end(), -1
+        while whole and (stop := _STOP.search(page, at)):
+            if stop[0] == ">":
+                end = stop.end()
+                break
+            quote = stop[0][-1]
+            close = page.find(quote, stop.end()) if quoted[quote] else -1
+            quoted[quote] = close >= 0
+            at = stop.end() if close < 0 else close + 1
+        if end < 0:
+            whole, end = False, page.find(">", name.end()) + 1
+        tag, closes = name[2].lower(), bool(name[1])
+        attrs = page[name.end() : end - 1]
+        if tag in _RAW_END and not closes:
+            stop = _RAW_END[tag].search(page, end)
+            at = stop.end() if stop else len(page)
+            yield Token(begin, at)
+        else:
+            at = end
+            yield Token(begin, at, tag, closes, attrs)
 
 
 class Node:
@@ -65,17 +119,17 @@ class Node:
         self.tag, self.attrs, self.parent, self.own, self.linked, self.total = tag, attrs, parent, 0, 0, 0
 
 
-def _closed(tokens: list[re.Match]) -> dict[int, int]:
+def _closed(found_tags: list[Token]) -> dict[int, int]:
     """For tokens that begin elements of _DROPPED: the token that ends each, if it comes before the parent's end tag."""
     found: dict[int, int] = {}
     stack: list[tuple[str, int]] = []
     count: Counter = Counter()
-    for i, m in enumerate(tokens):
-        tag = m["tag"]
-        if tag is None or (tag := tag.lower()) in _VOID:
+    for i, m in enumerate(found_tags):
+        tag = m.tag
+        if tag is None or tag in _VOID:
             continue
-        if not m["end"]:
-            if not (m["attrs"].endswith("/") and (tag in ("svg", "math") or count["svg"] or count["math"])):
+        if not m.closes:
+            if not (m.attrs.endswith("/") and (tag in ("svg", "math") or count["svg"] or count["math"])):
                 stack.append((tag, i))
                 count[tag] += 1
         elif count[tag]:
@@ -104,39 +158,37 @@ def parsed(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 blocks.append((stack[-1], text))
             pieces.clear()
 
-    tokens = list(_TOKEN.finditer(page))
-    closed = _closed(tokens)
+    marks = list(tokens(page))
+    closed = _closed(marks)
     until, skips = -1, False  # the last token of a dropped element; whether one without an end is open
-    for i, m in enumerate(tokens):
+    for i, m in enumerate(marks):
         if i <= until:
-            at = m.end()
+            at = m.end
             continue
-        if m.start() > at and not skips:
-            pieces.append((page[at : m.start()], links > 0))
-        at = m.end()
-        tag = m["tag"]
+        if m.begin > at and not skips:
+            pieces.append((page[at : m.begin], links > 0))
+        at, tag = m.end, m.tag
         if tag is None:
             continue
-        tag = tag.lower()
         if tag in _DROPPED:
-            if m["end"]:
+            if m.closes:
                 skips = False
             elif i in closed:
                 until = closed[i]
-            elif tag != "head" and not (tag in ("svg", "math") and m["attrs"].endswith("/")):
+            elif tag != "head" and not (tag in ("svg", "math") and m.attrs.endswith("/")):
                 skips = True
             continue
         if skips:
-            if tag not in _BREAKS and not (m["end"] and (tag in _INLINE or any(nodes[k].tag == tag for k in stack[1:]))):
+            if tag not in _BREAKS and not (m.closes and (tag in _INLINE or any(nodes[k].tag == tag for k in stack[1:]))):
                 continue
             skips = False
         if tag in _INLINE:
             if tag == "a":
-                links = 0 if m["end"] else 1
+                links = 0 if m.closes else 1
             continue
         flush()
         links = 0
-        if m["end"]:
+        if m.closes:
             for k in range(len(stack) - 1, 0, -1):
                 if nodes[stack[k]].tag == tag:
                     del stack[k:]
@@ -144,7 +196,7 @@ def parsed(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         if tag in _VOID or tag in ("html", "body"):
             if tag == "body":
-                nodes[0].attrs = m["attrs"]
+                nodes[0].attrs = m.attrs
             continue
         if nodes[stack[-1]].tag == "p":
             stack.pop()
@@ -157,7 +209,7 @@ def parsed(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 elif own in _SCOPE and not (own == "div" and tag == "li"):
                     break
         if len(stack) < 500:  # deeper elements count as their ancestor
-            nodes.append(Node(tag, m["attrs"], stack[-1]))
+            nodes.append(Node(tag, m.attrs, stack[-1]))
             stack.append(len(nodes) - 1)
     if at < len(page) and not skips:
         pieces.append((page[at:], links > 0))
@@ -165,13 +217,14 @@ def parsed(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     return nodes, blocks
 
 
-def _group(attrs: str) -> str:
+def _groups(attrs: str) -> tuple[str, ...]:
+    """The groups of a node's names: all of them, as a name may have words of several."""
     found = {_GROUP.get(w) for m in _ATTR.finditer(attrs) for w in _PART.findall((m[1] or m[2] or m[3] or "").lower())}
-    return next((k for k in _NAMED if k in found), "named" if found else "") if found else ""
+    return tuple(sorted(found - {None})) or (("named",) if found else ())
 
 
-def evidence(nodes: list[Node]) -> list[tuple[str, str, int, int]]:
-    """Of each node: tag with the group of its names, that group, share of linked text below it, amount of its own text."""
+def evidence(nodes: list[Node]) -> list[tuple[str, tuple[str, ...], int, int]]:
+    """Of each node: tag with the groups of its names, those groups, share of linked text below it, amount of its own text."""
     for x in nodes:
         x.total = x.own
     for x in reversed(nodes):
@@ -182,11 +235,16 @@ def evidence(nodes: list[Node]) -> list[tuple[str, str, int, int]]:
     out = []
     for x in nodes:
         share = 3 * x.linked // x.total if x.total else -1
-        named = _group(x.attrs) if x.attrs else ""
-        out.append((f"{x.tag}.{named}", named, min(share, 3), (x.own > 0) + (x.own >= 25) + (x.own >= 100)))
+        named = _groups(x.attrs) if x.attrs else ()
+        out.append((f"{x.tag}.{'+'.join(named)}", named, min(share, 3), (x.own > 0) + (x.own >= 25) + (x.own >= 100)))
     return out
 
 
+def _values(value) -> tuple:
+    """What a feature says: each group of a set is evidence of its own."""
+    return (value or ("",)) if isinstance(value, tuple) else (value,)
+
+
 class Model:
     """Counts over labelled pages, as smoothed likelihoods and potentials. A label is 0 (not content) or 1."""
 
@@ -197,7 +255,7 @@ class Model:
         for seen, parents, labels in pages:
             for x, parent, label in zip(seen, parents, labels):
                 for counts, value in zip(self.features, x):
-                    counts[label][value] += 1
+                    counts[label].update(_values(value))
                 if parent < 0:
                     first[label] += 1
                 else:
@@ -212,8 +270,9 @@ class Model:
             a = b = 1.0
             for counts, value in zip(self.features, x):
                 size = len(counts[0] | counts[1]) + 1
-                a *= (counts[0][value] + 0.5) / (counts[0].total() + 0.5 * size)
-                b *= (counts[1][value] + 0.5) / (counts[1].total() + 0.5 * size)
+                for v in _values(value):
+                    a *= (counts[0][v] + 0.5) / (counts[0].total() + 0.5 * size)
+                    b *= (counts[1][v] + 0.5) / (counts[1].total() + 0.5 * size)
             found = self.known[x] = (a / (a + b), b / (a + b))
         return found
 
@@ -302,6 +361,9 @@ def labelled_pages(n: int = 400, seed: int = 7) -> Iterator[tuple[list[tuple], l
 
     def page() -> str:
         name = r.choice(["article", "article", "main", "div class='content'", "div class='post'", "div id='main-content'", "section class='entry'", "div class='article-body'"])
+        if r.random() < 0.2:  # names of articles may hold words of other groups
+            more = r.choice(["share", "side-padding", "main-ad", "ad-free", "page-header", "has-sidebar", "comments-open", "search-result", "with-banner"])
+            name = f"{name[:-1]} {more}'" if name.endswith("'") else f"{name} class='{more}'"
         inner = f"<h1>{say(2, 10)}</h1>" * (r.random() < 0.8) + "".join(piece() for _ in range(r.choice([r.randint(1, 6), r.randint(4, 30)])))
         if r.random() < 0.25:
             inner += junk()

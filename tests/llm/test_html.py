@@ -1,3 +1,4 @@
+import time
 from itertools import product
 
 import pytest
@@ -64,3 +65,41 @@ def test_elements_without_their_end_tag_keep_the_article(model):
         assert main_text(f"<body><div>{broken}</div>{article}<iframe>gone</iframe></body>", model) == want
     assert main_text(f"<body>{article}<svg><g/><text>gone</text></svg><button><b>gone</b></button></body>", model) == want
     assert main_text(f"<body>{article}<script>gone <p>gone", model) == want
+
+
+ARTICLE = "<h1>The title</h1><p>First part of the text, a sentence of some length.</p><p>Second part of it.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<title-bar>Shop</title-bar><article>{}</article>",  # by hand, not by the generator of the training pages
+        "<article><video-player src='x'></video-player>{}</article>",
+        "<script-x></script-x><main>{}</main>",
+        "<div class='post share'>{}</div>",
+        "<div class='entry-content side-padding'>{}</div>",
+        "<div class='main-ad content'>{}</div>",
+        "<html><head><title>T</title><meta charset=x><body><main>{}</main>",
+        "<article data-x='a > b' title=it's>{}</article>",
+        "<div id=main-content class=\"page\">{}</div><div class=footer>The foot of it</div>",
+        "<header><a href=/>Home</a></header><nav><a href=/a>News</a> <a href=/b>More news</a></nav><main><article>{}</article></main><footer>Imprint</footer>",
+        "<ul class=menu><li><a href=/a>One</a><li><a href=/b>Two</a></ul><section class='article-body'>{}</section><aside><p>Read this too, you may like it.</p></aside>",
+        "<div id='cookie-notice'><p>We use cookies here.</p><button>Yes</button></div><div class='content'>{}</div>",
+    ],
+)
+def test_pages_by_hand(model, page):
+    text = main_text(page.format(ARTICLE), model)
+    assert "The title\nFirst part of the text, a sentence of some length.\nSecond part of it." in text
+    for gone in ("Home", "News", "One", "Imprint", "cookies", "Read this", "The foot"):
+        assert gone not in text
+
+
+@pytest.mark.parametrize("unit", ["<script ", "<a ", '<p "', "<p a='", '<p a=">"', "<!--", "<title>", "<", "</", "<svg>", "<b>x", "= '"])
+def test_broken_markup_takes_linear_time(model, unit):
+    for tail in ("", ">", "'>", '">'):
+        begin = time.process_time()
+        main_text(unit * ((1 << 19) // len(unit)) + tail, model)
+        assert time.process_time() - begin < 8
+    begin = time.process_time()
+    main_text("<script " * (1 << 17), model)
+    assert time.process_time() - begin < 1

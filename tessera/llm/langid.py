@@ -42,22 +42,26 @@ def sequences(word: str) -> Iterator[tuple[int, str]]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    """Counts of words, then of their sequences: a word is taken apart once for all the times that it occurs."""
+    words: dict[str, Counter] = {}
 
     def out() -> pa.RecordBatch:
+        counts: Counter = Counter()
+        for lang, own in words.items():
+            for word, k in own.items():
+                counts[lang, 0, word] = k
+                for n, gram in sequences(word):
+                    counts[lang, n, gram] += k
         lang, order, gram = zip(*counts)
         return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(order, pa.int32()), pa.array(gram, pa.string()), pa.array(list(counts.values()), pa.int64())], ["lang", "n", "gram", "count"])
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for word, k in Counter(words_of(text)).items():
-                counts[lang, 0, word] += k
-                for n, gram in sequences(word):
-                    counts[lang, n, gram] += k
-            if len(counts) > 100_000:
-                yield out()
-                counts.clear()
-    if counts:
+            words.setdefault(lang, Counter()).update(words_of(text))
+        if sum(map(len, words.values())) > 50_000:
+            yield out()
+            words.clear()
+    if any(words.values()):
         yield out()
 
 

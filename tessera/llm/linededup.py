@@ -33,17 +33,20 @@ from .common import written
 #: Words that a repeated run must have.
 LEAST = 50
 
-#: What parts words: white space of ASCII and Unicode.
-_SPACE = r" \t\x0B\f\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+#: White space other than a plain one, of ASCII and Unicode; and what a text has if its words are not parted by single spaces.
+_OTHER = r"\t\x0B\f\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_SPACE = f" {_OTHER}"
+_ODD = rf"[{_OTHER}]|  |^ |\n | \n| $"
 
 #: What tells documents apart (an id, and 128 bits of the text), and the columns of a place, in the order of the corpus.
 _DOC = ("doc_id", "h1", "h2")
 _PLACE = (*_DOC, "line")
 
 
-def _weight(line: Column) -> Column:
-    """Words of a line: pieces between white space, at least 1."""
-    return F.greatest(F.regexp_count(line, F.lit(f"[^{_SPACE}]+")), F.lit(1))
+def _weight(line: Column, odd: Column) -> Column:
+    """Words of a line: pieces between white space, at least 1. Lines of texts that are not ``odd`` have single spaces, which are counted faster."""
+    spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.when(odd, F.greatest(F.regexp_count(line, F.lit(f"[^{_SPACE}]+")), F.lit(1))).otherwise(spaces + 1)
 
 
 def _let(value: Column, use) -> Column:
@@ -52,8 +55,8 @@ def _let(value: Column, use) -> Column:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, h1, h2, line (from 0), a and b (the line's id, 128 bits), words."""
-    each = docs.select(*_DOC, F.posexplode(F.split("text", "\n", -1)).alias("line", "own"))
-    return each.select(*_DOC, "line", F.xxhash64("own").alias("a"), F.xxhash64("own", F.lit(7)).alias("b"), _weight(F.col("own")).alias("words"))
+    each = docs.select(*_DOC, F.col("text").rlike(_ODD).alias("odd"), F.posexplode(F.split("text", "\n", -1)).alias("line", "own"))
+    return each.select(*_DOC, "line", F.xxhash64("own").alias("a"), F.xxhash64("own", F.lit(7)).alias("b"), _weight(F.col("own"), F.col("odd")).alias("words"))
 
 
 def _stretches(docs: DataFrame, least: int) -> DataFrame:

@@ -3,7 +3,7 @@ import time
 
 import pytest
 
-from tessera.llm.linededup import dedup_lines, named_runs
+from tessera.llm.linededup import _lines, dedup_lines, named_runs
 
 
 def slow(docs, least):
@@ -68,3 +68,11 @@ def test_names_are_intervals_of_the_prefix_array(spark):
         interval.setdefault((n, name), set()).add(low)
     assert all(len(x) == 1 for x in interval.values()) and len(runs) > 200
     assert len({(n, min(x)) for (n, _), x in interval.items()}) == len(interval)
+
+
+def test_words_of_lines(spark):
+    lines = ["", " ", "a", "a b", " a", "a ", "a  b", "a\tb c", "\ta", "a\xa0b", "a\u3000b\u2003c", "ä b", "a\r", "a\x0bb", "x y z"]
+    texts = [*lines, "a b\nc", "a b\n c", "a b \nc", "\n", "a\nb\n"]
+    df = spark.createDataFrame([(k, k, 0, x) for k, x in enumerate(texts)], "doc_id long, h1 long, h2 long, text string")
+    found = {(x["doc_id"], x["line"]): x["words"] for x in _lines(df).collect()}
+    assert found == {(k, i): max(1, len(x.split())) for k, t in enumerate(texts) for i, x in enumerate(t.split("\n"))}

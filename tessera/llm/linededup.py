@@ -55,7 +55,8 @@ def _let(value: Column, use) -> Column:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, h1, h2, line (from 0), a and b (the line's id, 128 bits), words."""
-    each = docs.select(*_DOC, F.col("text").rlike(_ODD).alias("odd"), F.posexplode(F.split("text", "\n", -1)).alias("line", "own"))
+    marked = docs.withColumn("odd", F.col("text").rlike(_ODD))  # of the text, before its lines are rows
+    each = marked.select(*_DOC, "odd", F.posexplode(F.split("text", "\n", -1)).alias("line", "own"))
     return each.select(*_DOC, "line", F.xxhash64("own").alias("a"), F.xxhash64("own", F.lit(7)).alias("b"), _weight(F.col("own"), F.col("odd")).alias("words"))
 
 

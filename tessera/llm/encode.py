@@ -27,7 +27,7 @@ class Encoder:
     New chunks are encoded many at once, with the vocabulary's special token between them; in both
     kinds of vocabulary, punctuation after a word's last letter or digit is a token of its own, and
     words of ASCII letters go to the bare model. At most
-    ``most`` chunks are kept, then all are forgotten.
+    ``most`` chunks are kept, then all but those of the texts at hand are forgotten.
     """
 
     def __init__(self, path: str, cut: str | None, most: int = 350_000):
@@ -154,7 +154,7 @@ class Encoder:
             if x:
                 new.update(x)
         if len(self.kept) > self.most:
-            self.kept.clear()
+            self.kept = {x: self.kept[x] for x in new & self.kept.keys()}
         new -= self.kept.keys()
         if new:
             self._add(new)

@@ -168,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str, cut: str | None, end_id: int, window:
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids (binary,
     little-endian unsigned 32-bit) with ``with_ids``. Each document's ids end with ``end_id``; a
     null text is an empty one, so it has that id alone. Documents keep the order of their ids
-    (equal ids by a hash of the text, then by text; a null id first), within a shard and from shard to shard. A shard is a
+    (equal ids by text; a null id first), within a shard and from shard to shard. A shard is a
     range of ids, cut up by itself, so that at most its last sequence is short; that one is split
     into powers of two, which need no padding, where the cuts cost less than the padding. An empty
     table gives no piece; other columns are not read.
